@@ -1,12 +1,11 @@
 from tallyframe.functions.labels import seen_labels, with_class_index, with_label_domain
 from tallyframe.functions.text import cut_cell, double_text, required_text, vector_text
-from tallyframe.functions.votes import majority_vote, majority_vote_statement
+from tallyframe.functions.votes import majority_vote
 
 __all__ = [
     "cut_cell",
     "double_text",
     "majority_vote",
-    "majority_vote_statement",
     "required_text",
     "seen_labels",
     "vector_text",

@@ -3,56 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tallyframe.catalog import NUM_CLASSES
 
 
-def _counted_votes(votes: Sequence[str], out: str, num_classes: int, bits: int) -> str:
-    # The votes per class are digits of one BIGINT: class c owns the bits from
-    # c * bits up. Only integer arithmetic, so it stays in generated code.
-    ones = " + ".join(
-        f"shiftleft(CAST(1 AS BIGINT), CAST(`{vote}` AS INT) * {bits})" for vote in votes
-    )
-    mask = (1 << bits) - 1
-    ranked = ", ".join(
-        f"(shiftright(`__tally`, {c * bits}) & {mask}) * {num_classes} + {num_classes - 1 - c}"
+def _counted(tally: Column, num_classes: int, bits: int) -> Column:
+    # Class c owns the bits from c * bits up. Votes first, then the smaller
+    # class: one integer orders both.
+    mask = F.lit((1 << bits) - 1).cast("bigint")
+    ranked = [
+        F.shiftright(tally, c * bits).bitwiseAND(mask) * num_classes + (num_classes - 1 - c)
         for c in range(num_classes)
-    )
-    best = ranked if num_classes == 1 else f"greatest({ranked})"
-    return (
-        f"SELECT * EXCEPT (`__tally`), "
-        f"CAST({num_classes - 1} - ({best}) % {num_classes} AS DOUBLE) AS `{out}` "
-        f"FROM (SELECT *, {ones} AS `__tally` FROM __THIS__)"
-    )
+    ]
+    best = F.greatest(*ranked) if num_classes > 1 else ranked[0]
+    return (num_classes - 1 - best % num_classes).cast("double")
 
 
-def _listed_votes(votes: Sequence[str], out: str) -> str:
-    # Any number of trees and classes, at the price of interpreted lambdas.
-    listed = ", ".join(f"`{vote}`" for vote in votes)
-    ranked = (
-        "transform(array_distinct(`__votes`), c -> "
-        "struct(size(filter(`__votes`, v -> v = c)) AS n, -c AS c))"
-    )
-    return (
-        f"SELECT * EXCEPT (`__votes`), -array_max({ranked}).c AS `{out}` "
-        f"FROM (SELECT *, array({listed}) AS `__votes` FROM __THIS__)"
+def _listed(votes: Column) -> Column:
+    ranked = F.transform(
+        F.array_distinct(votes),
+        lambda c: F.struct(F.size(F.filter(votes, lambda v: v == c)).alias("n"), (-c).alias("c")),
     )
-
-
-def majority_vote_statement(
-    votes: Sequence[str], out: str, num_classes: int = NUM_CLASSES
-) -> str:
-    """SQL over ``__THIS__`` that adds ``out``, for votes in 0 .. num_classes-1."""
-    bits = len(votes).bit_length()
-    if bits * num_classes <= 63:
-        return _counted_votes(votes, out, num_classes, bits)
-    return _listed_votes(votes, out)
+    return -F.array_max(ranked)["c"]
 
 
 def majority_vote(
     df: DataFrame, votes: Sequence[str], out: str, num_classes: int = NUM_CLASSES
 ) -> DataFrame:
-    return SQLTransformer(statement=majority_vote_statement(votes, out, num_classes)).transform(df)
+    """Replace the vote columns, holding 0 .. num_classes-1, by the winner ``out``.
+
+    The votes per class are kept as digits of one BIGINT, which is integer
+    arithmetic in generated code. Ensembles too wide for that take the same
+    vote over an array, with interpreted lambdas.
+    """
+    kept = [F.col(f"`{name}`") for name in df.columns if name not in votes]
+    bits = len(votes).bit_length()
+    if bits * num_classes > 63:
+        listed = df.select(*kept, F.array(*votes).alias("__votes"))
+        return listed.select(*kept, _listed(F.col("__votes")).alias(out))
+    one = F.lit(1).cast("bigint")
+    digits = [F.call_function("shiftleft", one, F.col(v).cast("int") * bits) for v in votes]
+    tallied = df.select(*kept, reduce(add, digits).alias("__tally"))
+    return tallied.select(*kept, _counted(F.col("__tally"), num_classes, bits).alias(out))

@@ -1,7 +1,7 @@
-"""Training: (``label``, ``features``) in, a ``PipelineModel`` out.
+"""Training: (``label``, ``features``) in, a model out.
 
-Every model, however it is built up, adds one column ``prediction`` holding a
-label value, and is saved and loaded in Spark's own format.
+Every model adds one column ``prediction`` that holds a label value, and is
+saved in Spark's own format.
 """
 
 from __future__ import annotations
@@ -10,10 +10,12 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -40,7 +42,7 @@ from tallyframe.catalog import (
     ModelKind,
 )
 from tallyframe.functions.labels import seen_labels, with_class_index, with_label_domain
-from tallyframe.functions.votes import majority_vote_statement
+from tallyframe.operators.voting import VotingForest
 
 # Only the class is asked for, so scoring makes one call per row and model.
 _CLASS_ONLY = {"rawPredictionCol": "", "probabilityCol": ""}
@@ -62,7 +64,9 @@ def bounded_partitions(
     return examples.coalesce(max_partitions)
 
 
-def fit_logistic(examples: DataFrame, num_classes: int = NUM_CLASSES) -> PipelineModel:
+def fit_logistic(
+    examples: DataFrame, num_classes: int = NUM_CLASSES
+) -> LogisticRegressionModel:
     """Multinomial, no intercept, no regularization. Spark caches its own blocks."""
     estimator = LogisticRegression(
         family="multinomial",
@@ -72,10 +76,12 @@ def fit_logistic(examples: DataFrame, num_classes: int = NUM_CLASSES) -> Pipelin
         tol=LOGISTIC_TOLERANCE,
         **_CLASS_ONLY,
     )
-    return PipelineModel([estimator.fit(with_label_domain(examples, num_classes))])
+    return estimator.fit(with_label_domain(examples, num_classes))
 
 
-def fit_tree(examples: DataFrame, num_classes: int = NUM_CLASSES) -> PipelineModel:
+def fit_tree(
+    examples: DataFrame, num_classes: int = NUM_CLASSES
+) -> DecisionTreeClassificationModel:
     estimator = DecisionTreeClassifier(
         impurity=TREE_IMPURITY,
         maxDepth=TREE_DEPTH,
@@ -83,7 +89,7 @@ def fit_tree(examples: DataFrame, num_classes: int = NUM_CLASSES) -> PipelineMod
         seed=TREE_SEED,
         **_CLASS_ONLY,
     )
-    return PipelineModel([estimator.fit(with_label_domain(examples, num_classes))])
+    return estimator.fit(with_label_domain(examples, num_classes))
 
 
 def fit_bayes(examples: DataFrame, labels: Sequence[float] | None = None) -> PipelineModel:
@@ -117,12 +123,7 @@ def fit_bayes(examples: DataFrame, labels: Sequence[float] | None = None) -> Pip
 
 def fit_forest(
     examples: DataFrame, num_classes: int = NUM_CLASSES, num_trees: int = FOREST_TREES
-) -> PipelineModel:
-    """Random forest whose trees each have one vote.
-
-    Spark's own forest model adds up class probabilities, which gives another
-    answer on close calls. Here the trees are the stages and the vote is last.
-    """
+) -> VotingForest:
     estimator = RandomForestClassifier(
         numTrees=num_trees,
         featureSubsetStrategy=FOREST_SUBSET,
@@ -131,21 +132,10 @@ def fit_forest(
         maxBins=TREE_BINS,
         seed=FOREST_SEED,
     )
-    forest = estimator.fit(with_label_domain(examples, num_classes))
-    stages = []
-    for position, tree in enumerate(forest.trees):
-        settings = {"predictionCol": f"__vote_{position}", **_CLASS_ONLY}
-        stages.append(tree.copy({tree.getParam(name): v for name, v in settings.items()}))
-    votes = [tree.getPredictionCol() for tree in stages]
-    listed = ", ".join(f"`{vote}`" for vote in votes)
-    statement = majority_vote_statement(votes, "prediction", num_classes)
-    drop_votes = f"SELECT * EXCEPT ({listed}) FROM __THIS__"
-    return PipelineModel(
-        [*stages, SQLTransformer(statement=statement), SQLTransformer(statement=drop_votes)]
-    )
+    return VotingForest(estimator.fit(with_label_domain(examples, num_classes)))
 
 
-_FITS: dict[str, Callable[[DataFrame], PipelineModel]] = {
+_FITS: dict[str, Callable[[DataFrame], Transformer]] = {
     LOGISTIC.key: fit_logistic,
     TREE.key: fit_tree,
     BAYES.key: fit_bayes,
@@ -153,13 +143,13 @@ _FITS: dict[str, Callable[[DataFrame], PipelineModel]] = {
 }
 
 
-def fit(examples: DataFrame, kind: ModelKind) -> PipelineModel:
+def fit(examples: DataFrame, kind: ModelKind) -> Transformer:
     return _FITS[kind.key](examples)
 
 
 def fit_all(
     examples: DataFrame, kinds: Iterable[ModelKind] = ALL_KINDS, parallelism: int = 4
-) -> dict[str, PipelineModel]:
+) -> dict[str, Transformer]:
     """Train several models on one frame, ``parallelism`` of them at a time.
 
     Logistic regression is many short jobs in a row; run side by side, the
@@ -170,7 +160,7 @@ def fit_all(
     spark = examples.sparkSession
 
     @inheritable_thread_target(spark)
-    def run(kind: ModelKind) -> PipelineModel:
+    def run(kind: ModelKind) -> Transformer:
         return fit(examples, kind)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(kinds)))) as pool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.storagelevel import StorageLevel
 
@@ -22,7 +22,7 @@ from tallyframe.sources.saved_models import load_models, save_models
 class RunResult:
     """``report`` and ``summary`` are lazy unless a report path was given."""
 
-    models: dict[str, PipelineModel]
+    models: dict[str, Transformer]
     report: DataFrame
     summary: DataFrame
 
@@ -40,7 +40,7 @@ def _report(scored: DataFrame, kinds: list[ModelKind], training: bool) -> DataFr
 def _evaluate(
     spark: SparkSession,
     test: DataFrame,
-    models: Mapping[str, PipelineModel],
+    models: Mapping[str, Transformer],
     kinds: list[ModelKind],
     report_path: str | None,
     training: bool,
