@@ -17,10 +17,10 @@ def vector_text(vector: Column) -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", values), F.lit("]"))
 
 
-def required_text(text: Column, name: str) -> Column:
-    """The text as a non-nullable column; a null fails the job."""
+def required_text(value: Column, text: Column, name: str) -> Column:
+    """``text``, made from ``value``, as a non-nullable column; a null fails the job."""
     missing = F.raise_error(F.lit(f"null in {name}"))
-    return F.coalesce(F.when(text.isNotNull(), text).otherwise(missing), F.lit(""))
+    return F.coalesce(F.when(value.isNotNull(), text).otherwise(missing), F.lit(""))
 
 
 def cut_cell(text: Column, width: int = 20) -> Column:

@@ -12,11 +12,13 @@ from tallyframe.functions.text import cut_cell, double_text, required_text, vect
 
 
 def _number(column: str, title: str) -> Column:
-    return required_text(double_text(F.col(column)), title).alias(title)
+    value = F.col(column)
+    return required_text(value, double_text(value), title).alias(title)
 
 
 def _row(predictions: list[Column]) -> list[Column]:
-    features = required_text(vector_text(F.col("features")), FEATURES_COLUMN)
+    vector = F.col("features")
+    features = required_text(vector, vector_text(vector), FEATURES_COLUMN)
     return [features.alias(FEATURES_COLUMN), _number("label", LABEL_COLUMN), *predictions]
 
 

@@ -75,7 +75,8 @@ def _accepted(line: Column, numbers: Column) -> Column:
     # The pattern is only run on the rare line that holds a NaN or an infinity.
     special = F.lit(False)
     for value in ("NaN", "Infinity", "-Infinity"):
-        special = special | F.array_contains(numbers, F.lit(float(value)))
+        held = F.coalesce(F.array_contains(numbers, F.lit(float(value))), F.lit(False))
+        special = special | held
     return ~(special & line.rlike(_BAD_SPECIAL))
 
 
@@ -106,8 +107,6 @@ def parse_labelled(lines: DataFrame, width: int | None = None, strict: bool = Tr
     """
     if not strict:
         return _examples(_lenient(lines, width).filter("good"))
-    if str(lines.sparkSession.conf.get("spark.sql.ansi.enabled")).lower() != "true":
-        raise ValueError("strict parsing needs spark.sql.ansi.enabled=true")
     fields = split_fields(lines)
     if width is not None:
         wrong = F.raise_error(F.concat(F.lit(f"expected {width} fields: "), F.col("value")))
@@ -115,8 +114,11 @@ def parse_labelled(lines: DataFrame, width: int | None = None, strict: bool = Tr
             "fields", F.when(F.size("fields") == width, F.col("fields")).otherwise(wrong)
         )
     parsed = fields.withColumn("numbers", F.col("fields").cast("array<double>"))
-    refused = F.raise_error(F.concat(F.lit("not a number in: "), F.col("value")))
     accepted = _accepted(F.col("value"), F.col("numbers"))
+    if str(lines.sparkSession.conf.get("spark.sql.ansi.enabled")).lower() != "true":
+        # Here the cast itself does not fail but leaves nulls behind.
+        accepted = accepted & ~F.exists("numbers", lambda x: x.isNull())
+    refused = F.raise_error(F.concat(F.lit("not a number in: "), F.col("value")))
     return _examples(
         parsed.withColumn("numbers", F.when(accepted, F.col("numbers")).otherwise(refused))
     )
