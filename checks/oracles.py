@@ -38,7 +38,7 @@ _GRADED = """ex AS (
     CAST(CASE WHEN l_quantity > 25
       THEN CASE WHEN l_discount > 0.055 THEN 8 ELSE 6 END
       ELSE CASE WHEN l_tax > 0.035 THEN 5 ELSE 3 END END AS DOUBLE) AS label,
-    l_quantity AS f0, l_extendedprice / 1000 AS f1, l_discount * 100 AS f2, l_tax * 100 AS f3
+    floor(l_quantity / 2) AS f0, l_extendedprice / 1000 AS f1, l_discount * 100 AS f2, l_tax * 100 AS f3
   FROM lineitem)"""
 
 _CELL_NUMBER = "CASE " + " ".join(
@@ -215,6 +215,12 @@ ORACLES: dict[str, str] = {
     ),
     **{f"training_report_{k.key}": _report(k, k.training_column) for k in ALL_KINDS},
     **{f"prediction_report_{k.key}": _report(k, k.prediction_column) for k in ALL_KINDS},
+    "plain_report": (
+        "SELECT '[' || CAST(floor(l_quantity / 2) AS VARCHAR) || ',' "
+        "|| CAST(25 - floor(l_quantity / 2) AS VARCHAR) "
+        f"|| ']' AS features, CAST({_HALF} AS VARCHAR) AS label, "
+        f"CAST({_HALF} AS VARCHAR) AS prediction FROM lineitem"
+    ),
     "comparison_report": f"{_CELLS_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
     "report_preview": (
         f"{_CELLS_SCORED}, top AS (SELECT * FROM scored "

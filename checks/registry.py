@@ -24,6 +24,7 @@ from tallyframe.operators import (
     fit_all,
     fit_bayes,
     model_report,
+    plain_report,
     prediction_pairs,
     preview,
     score,
@@ -203,6 +204,11 @@ def _model_report(kind: ModelKind, training: bool, spark, sf_dir):
     return model_report(score(examples, fit(examples, kind)), kind, training=training)
 
 
+def three_plain_columns(spark, sf_dir):
+    examples = fixtures.halves(spark, sf_dir)
+    return plain_report(score(examples, fit(examples, TREE)))
+
+
 def four_model_report(spark, sf_dir):
     return comparison_report(_four_scored(fixtures.cells, spark, sf_dir))
 
@@ -282,6 +288,7 @@ QUERIES: dict[str, Query] = {
         for role in ("training", "prediction")
         for kind in ALL_KINDS
     },
+    "plain_report": three_plain_columns,
     "comparison_report": four_model_report,
     "report_preview": report_preview,
     **{f"model_round_trip_{kind.key}": partial(_round_trip, kind) for kind in ALL_KINDS},

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from tallyframe.catalog import ALL_KINDS, kind_of
 from tallyframe.operators.evaluation import accuracy_lines
+from tallyframe.operators.training import MAX_TRAINING_PARTITIONS
 from tallyframe.plans.runs import RunResult, score_saved, train_and_validate
 
 
@@ -26,6 +27,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     train.add_argument("--validation", nargs="+", required=True)
     train.add_argument("--models")
     train.add_argument("--overwrite", action="store_true")
+    train.add_argument("--max-partitions", type=int, default=MAX_TRAINING_PARTITIONS)
     predict = commands.add_parser("predict")
     predict.add_argument("--testing", nargs="+", required=True)
     predict.add_argument("--models", required=True)
@@ -56,6 +58,7 @@ def main(argv: list[str] | None = None) -> None:
             model_directory=args.models,
             report_path=args.report,
             overwrite_models=args.overwrite,
+            max_partitions=args.max_partitions,
             strict_width=args.strict_width,
         )
     else:

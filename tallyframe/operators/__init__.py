@@ -10,6 +10,7 @@ from tallyframe.operators.evaluation import (
 from tallyframe.operators.reports import (
     comparison_report,
     model_report,
+    plain_report,
     preview,
     write_report,
 )
@@ -40,6 +41,7 @@ __all__ = [
     "fit_logistic",
     "fit_tree",
     "model_report",
+    "plain_report",
     "prediction_pairs",
     "preview",
     "score",

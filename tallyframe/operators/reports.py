@@ -30,6 +30,12 @@ def model_report(
     return scored.select(*_row([_number(prediction, title)]))
 
 
+def plain_report(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """The single-model report under the names ``features``, ``label``, ``prediction``."""
+    columns = _row([_number(prediction, "prediction")])
+    return scored.select(*columns).toDF("features", "label", "prediction")
+
+
 def comparison_report(scored: DataFrame, kinds: Iterable[ModelKind] = ALL_KINDS) -> DataFrame:
     """A frame from ``score_all`` with one prediction column per model."""
     return scored.select(*_row([_number(k.score_column, k.prediction_column) for k in kinds]))

@@ -47,11 +47,13 @@ from tallyframe.operators.voting import VotingForest
 # Only the class is asked for, so scoring makes one call per row and model.
 _CLASS_ONLY = {"rawPredictionCol": "", "probabilityCol": ""}
 
-# Tree training shuffles one histogram per partition and node, and each step of
-# logistic regression runs one task per partition, so their cost grows with the
-# number of partitions, not only with the rows. At 100 TB, 128 MB splits would
-# be 800,000 partitions; this bound keeps them near 2 GB.
-MAX_TRAINING_PARTITIONS = 50_000
+# Tree training shuffles one histogram per partition and node, into as many
+# reducers as there are partitions, and each of the 100 or more steps of
+# logistic regression runs one task per partition. So their cost grows with the
+# number of partitions, not only with the rows. At 100 TB, splits of 128 MB
+# would make 800,000 of them; this bound makes it 20,000 of 5 GB, which are
+# still several per core on 1,000 executors.
+MAX_TRAINING_PARTITIONS = 20_000
 
 
 def bounded_partitions(

@@ -44,8 +44,8 @@ def probe_header(spark: SparkSession, paths: str | Sequence[str]) -> str:
     the answer stable and costs one single-task job; empty files are skipped.
     """
     for path in _as_list(paths):
-        for file in sorted(spark.read.text(path).inputFiles()):
-            literal = _GLOB_CHARACTERS.sub(r"\\\1", unquote(file))
+        for file in sorted(map(unquote, spark.read.text(path).inputFiles())):
+            literal = _GLOB_CHARACTERS.sub(r"\\\1", file)
             row = spark.read.text(literal).select("value").first()
             if row is not None:
                 return row["value"]
