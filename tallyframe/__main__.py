@@ -28,6 +28,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     train.add_argument("--models")
     train.add_argument("--overwrite", action="store_true")
     train.add_argument("--max-partitions", type=int, default=MAX_TRAINING_PARTITIONS)
+    train.add_argument("--parallelism", type=int, default=1)
     predict = commands.add_parser("predict")
     predict.add_argument("--testing", nargs="+", required=True)
     predict.add_argument("--models", required=True)
@@ -59,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
             report_path=args.report,
             overwrite_models=args.overwrite,
             max_partitions=args.max_partitions,
+            parallelism=args.parallelism,
             strict_width=args.strict_width,
         )
     else:

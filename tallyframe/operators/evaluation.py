@@ -28,11 +28,15 @@ def accuracy_of(prediction: str, label: str = "label") -> Column:
     return _share(_correct(prediction, label))
 
 
-def correct_rows(scored: DataFrame, prediction: str = "prediction", label: str = "label"):
+def correct_rows(
+    scored: DataFrame, prediction: str = "prediction", label: str = "label"
+) -> DataFrame:
     return scored.filter(_correct(prediction, label))
 
 
-def wrong_rows(scored: DataFrame, prediction: str = "prediction", label: str = "label"):
+def wrong_rows(
+    scored: DataFrame, prediction: str = "prediction", label: str = "label"
+) -> DataFrame:
     return scored.filter(~_correct(prediction, label))
 
 

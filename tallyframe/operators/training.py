@@ -145,18 +145,34 @@ _FITS: dict[str, Callable[[DataFrame], Transformer]] = {
 }
 
 
+# Passes each fit makes over its input before it works on a form of its own,
+# which Spark ML keeps by itself: statistics, split candidates, conversion.
+_PASSES = {LOGISTIC.key: 2, TREE.key: 3, BAYES.key: 2, FOREST.key: 3}
+
+
+def worth_keeping(kinds: Iterable[ModelKind]) -> bool:
+    """Whether caching the examples beats reading them again for every pass.
+
+    Two passes over text cost about as much as one pass plus writing and
+    reading the cache, and logistic regression caches all rows once more.
+    """
+    return sum(_PASSES[kind.key] for kind in kinds) > 2
+
+
 def fit(examples: DataFrame, kind: ModelKind) -> Transformer:
     return _FITS[kind.key](examples)
 
 
 def fit_all(
-    examples: DataFrame, kinds: Iterable[ModelKind] = ALL_KINDS, parallelism: int = 4
+    examples: DataFrame, kinds: Iterable[ModelKind] = ALL_KINDS, parallelism: int = 1
 ) -> dict[str, Transformer]:
     """Train several models on one frame, ``parallelism`` of them at a time.
 
-    Logistic regression is many short jobs in a row; run side by side, the
-    other fits use the executors it leaves idle. The result does not depend on
-    ``parallelism``. The frame should be cached, since each fit reads it again.
+    The frame should be cached, since each fit reads it again. On data that
+    fills the cluster one fit after the other is best: each uses every core,
+    and only one keeps its own form of the rows at a time. On small data,
+    logistic regression is hundreds of short jobs, and the other fits can run
+    beside it. The models do not depend on ``parallelism``.
     """
     kinds = list(kinds)
     spark = examples.sparkSession

@@ -13,7 +13,12 @@ from tallyframe.catalog import ALL_KINDS, ModelKind
 from tallyframe.operators.evaluation import accuracy_of, accuracy_summary
 from tallyframe.operators.reports import comparison_report, model_report, write_report
 from tallyframe.operators.scoring import score_all
-from tallyframe.operators.training import MAX_TRAINING_PARTITIONS, bounded_partitions, fit_all
+from tallyframe.operators.training import (
+    MAX_TRAINING_PARTITIONS,
+    bounded_partitions,
+    fit_all,
+    worth_keeping,
+)
 from tallyframe.sources.delimited import load_labelled
 from tallyframe.sources.saved_models import load_models, save_models
 
@@ -70,18 +75,23 @@ def train_and_validate(
     overwrite_models: bool = False,
     max_partitions: int = MAX_TRAINING_PARTITIONS,
     strict_width: bool = False,
+    parallelism: int = 1,
 ) -> RunResult:
     """Fit every kind on one set, score the other, report, and save the models."""
     kinds = _in_order(kinds)
     training = load_labelled(spark, training_paths, strict_width=strict_width)
     test = load_labelled(spark, validation_paths, strict_width=strict_width)
-    # Each fit makes several passes, so the text is parsed once and kept. What
-    # a lost executor held is parsed again from its own splits.
-    examples = bounded_partitions(training, max_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    examples = bounded_partitions(training, max_partitions)
+    # The text is parsed once and kept for all fits. What a lost executor held
+    # is parsed again from its own splits.
+    keep = worth_keeping(kinds)
+    if keep:
+        examples.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = fit_all(examples, kinds)
+        models = fit_all(examples, kinds, parallelism)
     finally:
-        examples.unpersist()
+        if keep:
+            examples.unpersist()
     if model_directory is not None:
         save_models(models, model_directory, overwrite_models)
     report, summary = _evaluate(spark, test, models, kinds, report_path, training=True)

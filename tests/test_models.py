@@ -29,7 +29,7 @@ def examples(spark):
 
 @pytest.fixture(scope="module")
 def models(examples):
-    return fit_all(examples)
+    return fit_all(examples, parallelism=4)
 
 
 def test_shapes(models):

@@ -4,8 +4,9 @@ import pytest
 
 from checks import fixtures
 from conftest import SF_DIR
-from tallyframe import ALL_KINDS, BAYES, TREE
+from tallyframe import ALL_KINDS, BAYES, FOREST, LOGISTIC, TREE
 from tallyframe.__main__ import main
+from tallyframe.operators.training import worth_keeping
 from tallyframe.plans import score_saved, train_and_validate
 
 
@@ -25,6 +26,11 @@ def test_both_runs_with_and_without_a_written_report(spark, lines, tmp_path):
     assert written.summary.collect() == lazy.summary.collect()
 
 
+def test_examples_are_kept_only_for_more_than_two_passes():
+    assert not worth_keeping([BAYES]) and not worth_keeping([LOGISTIC])
+    assert worth_keeping([TREE]) and worth_keeping([FOREST]) and worth_keeping(ALL_KINDS)
+
+
 def test_training_data_is_released(spark, lines):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     train_and_validate(spark, lines, lines, kinds=iter([BAYES, TREE]))
