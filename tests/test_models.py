@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from conftest import SF_DIR
 from tallyframe import ALL_KINDS, BAYES, FOREST, LOGISTIC, TREE, kind_of
-from tallyframe.functions import with_class_index, with_label_domain
+from tallyframe.functions import seen_labels, with_class_index, with_label_domain
 from tallyframe.operators import (
     accuracy,
     accuracy_metrics,
@@ -99,6 +99,13 @@ def test_bayes_takes_any_label_values_in_numeric_order(spark, examples):
     assert {row["prediction"] for row in predicted.collect()} == {4.0, 5.0, 6.0, 7.0, 8.0, 10.5}
 
 
+def test_listing_labels_is_bounded(examples):
+    assert seen_labels(examples) == [3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+    assert seen_labels(examples, most=6)[-1] == 8.0
+    with pytest.raises(ValueError, match="more than 5"):
+        seen_labels(examples, most=5)
+
+
 def test_bayes_refuses_negative_features(spark):
     from pyspark.ml.linalg import Vectors
 
