@@ -63,3 +63,21 @@ SELECT m.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          AND coalesce(score >= {quality.THRESHOLD}, FALSE) AS kept
 FROM measured m LEFT JOIN scores USING (doc_id)
 """
+
+LINES = """
+WITH lines AS (
+  SELECT doc_id, i, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), owners AS (
+  SELECT k, min(doc_id) AS owner FROM lines WHERE length(k) >= 10 GROUP BY k
+), judged AS (
+  SELECT doc_id, i, line, coalesce(owner = doc_id, TRUE) AS stays
+  FROM lines LEFT JOIN owners USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

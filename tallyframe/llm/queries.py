@@ -5,26 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import oracles, quality
+from tallyframe.llm import line_dedup, oracles, packing, quality
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
     return judged.drop("text", "score")
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op4_line_dedup,
         op8_quality_rules,
+        op10_best_fit_packing,
     )
 }
 
 ORACLES = {
+    "op4_line_dedup": oracles.LINES,
     "op8_quality_rules": oracles.QUALITY,
 }
