@@ -81,3 +81,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+COPIES = """
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
+RECORDS = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS p FROM pages
+), judged AS (
+  SELECT page_id, p, max(page_id) OVER (PARTITION BY p) AS first FROM payloads
+), kinds AS (
+  SELECT page_id, p, first, first <> page_id AND strlen(p) >= 1000 AS again FROM judged
+)
+SELECT page_id, strlen(p)::BIGINT AS payload_bytes, sha1(p) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM kinds
+"""

@@ -7,18 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import line_dedup, oracles, packing, quality
+from tallyframe.llm import exact_dedup, line_dedup, oracles, packing, quality, warc
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.dedup_lines(docs)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
@@ -32,13 +40,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op3_exact_dedup,
         op4_line_dedup,
+        op7_warc,
         op8_quality_rules,
         op10_best_fit_packing,
     )
 }
 
 ORACLES = {
+    "op3_exact_dedup": oracles.COPIES,
     "op4_line_dedup": oracles.LINES,
+    "op7_warc": oracles.RECORDS,
     "op8_quality_rules": oracles.QUALITY,
 }
