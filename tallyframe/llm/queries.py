@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup, line_dedup, oracles, packing, quality, warc
+from tallyframe.llm import exact_dedup, line_dedup, oracles, packing, pii, quality, warc
 from tallyframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base", "places")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -40,6 +45,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_pii,
         op3_exact_dedup,
         op4_line_dedup,
         op7_warc,
