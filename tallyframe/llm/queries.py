@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup, line_dedup, oracles, packing, pii, quality, warc
+from tallyframe.llm import exact_dedup, line_dedup, oracles, packing, pieces, pii, quality, warc
 from tallyframe.llm.common import table
 
+#: Where the public tokenizers lie; a parameter of the operator.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,6 +31,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.encode(docs, PIECE_MODEL, with_ids=False).drop("ids")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("url")
 
@@ -48,6 +56,7 @@ QUERIES: dict[str, Query] = {
         op2_pii,
         op3_exact_dedup,
         op4_line_dedup,
+        op5_sentencepiece,
         op7_warc,
         op8_quality_rules,
         op10_best_fit_packing,
