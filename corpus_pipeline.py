@@ -7,8 +7,9 @@ as Parquet and read again as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import quality
+from tallyframe.llm import chosen_path, line_dedup, packing, pii, quality
 from tallyframe.llm.common import table, write_out
 
 
@@ -18,8 +19,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter("kept").select(*docs.columns)
 
 
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, except from the document with the smallest id."""
+    kept = line_dedup.dedup_lines(docs)
+    changed = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
+    size = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
+    changed["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return chosen_path.one_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by a mark."""
+    return pii.redact(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the training sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", repeated_lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("PII", personal_data),
+    ("best-fit packing", best_fit_packing),
 ]
 
 #: The last stage packs by a sequential rule that SQL cannot express.

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import BLANK_RUN, id_back, id_of, whole_text, words_of, write_out
+from tallyframe.llm.common import BLANK_RUN, NO_ID, id_back, id_of, whole_text, words_of, write_out
 
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 #: A search may start where the last one ended or where a run starts. Starts inside a run
@@ -177,13 +177,14 @@ def _written(kind: str, spans: Column) -> Column:
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """(_row, _id, n_*, base, seeds, words) of every row; written, so that rows keep their number."""
+    """(_row, _id, _text, n_*, base, seeds, words) of every row; written, so that rows keep their number."""
     here = with_base_spans(docs.select(id_of().alias("_id"), "text"))
     here = with_matches(here, "_digits", DIGIT_WORD, whole_text().rlike("[0-9]"))
     base = F.concat(*[_written(kind, F.col(f"_{kind}")) for kind in KINDS])
     return write_out(
         here.select(
             F.monotonically_increasing_id().alias("_row"),
+            F.xxhash64(whole_text()).alias("_text"),
             "_id",
             *[F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS],
             F.array_join(base, ",").alias("base"),
@@ -289,10 +290,10 @@ def bootstrap(
 
 
 def find(docs: DataFrame, min_score: float = MIN_SCORE, **options: float) -> DataFrame:
-    """One row a row of ``docs``: doc_id, n_email ... n_phone, n_context, base, spans, places.
+    """One row a row of ``docs``: doc_id, n_email ... n_phone, n_context, base, spans, places, _text.
 
-    ``base`` and ``spans`` are kind:start:end by kind and start; ``places`` the
-    same spans as (kind, start, end). A null text has none; rows with null or
+    ``base`` and ``spans`` are kind:start:end by kind and start; ``places`` are the
+    same spans as (start, end) in order, and ``_text`` is a hash of the text. A null text has none; rows with null or
     repeated ids keep a row each; other columns are not looked at.
     """
     found = find_base(docs)
@@ -312,9 +313,44 @@ def find(docs: DataFrame, min_score: float = MIN_SCORE, **options: float) -> Dat
     place = F.transform("seeds", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     return here.select(
         id_back(F.col("_id")).alias("doc_id"),
+        "_text",
         *[f"n_{kind}" for kind in KINDS],
         F.size("extra").cast("long").alias("n_context"),
         "base",
         F.concat_ws(",", base, F.when(F.size("extra") > 0, more)).alias("spans"),
         F.sort_array(F.concat(place, "extra")).alias("places"),
     )
+
+
+def redact(docs: DataFrame, mark: str = "[PRIVATE]", **options: float) -> DataFrame:
+    """``docs`` with every found span replaced by ``mark``; overlapping spans by one mark.
+
+    Texts without spans, null ones too, stay as they are. A column ``n_chars``
+    gets the new length; all columns keep their names and types.
+    """
+    found = find(docs.select("doc_id", "text"), **options).filter(F.size("places") > 0)
+    places = found.select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), "_text", "places"
+    ).dropDuplicates(["_id", "_text"])
+    keyed = docs.withColumn("_id", id_of()).withColumn("_text", F.xxhash64(whole_text()))
+    here = keyed.join(places, ["_id", "_text"], "left")
+
+    def step(state: Column, x: Column) -> Column:
+        gap = F.substring("text", state["at"] + 1, F.greatest(x["start"] - state["at"], F.lit(0)))
+        apart = x["start"] >= state["at"]
+        out = F.when(apart, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
+        return F.struct(F.greatest(x["end"], state["at"]).alias("at"), out.alias("out"))
+
+    def end(state: Column) -> Column:
+        return F.concat(state["out"], F.substring("text", state["at"] + 1, F.length("text")))
+
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    new = F.when(F.col("places").isNull(), F.col("text")).otherwise(
+        F.aggregate("places", first, step, end)
+    )
+    changed = here.withColumn("_new", new)
+    columns = {"text": F.col("_new")}
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("places").isNull(), F.col("n_chars")).otherwise(F.length("_new"))
+        columns["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return changed.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])

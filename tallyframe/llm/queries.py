@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup, line_dedup, oracles, packing, pieces, pii, quality, warc
+from tallyframe.llm import chosen_path, exact_dedup, line_dedup, oracles, packing, pieces, pii, quality, warc
 from tallyframe.llm.common import table
 
 #: Where the public tokenizers lie; a parameter of the operator.
@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base", "places")
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base", "places", "_text")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text", "score")
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
         op5_sentencepiece,
         op7_warc,
         op8_quality_rules,
+        op9_ngram_jaccard_join,
         op10_best_fit_packing,
     )
 }
