@@ -156,10 +156,10 @@ def dedup_lines(docs: DataFrame, **options: int) -> DataFrame:
     """
     own = ["n_lines", "n_dropped", "kept_text"]
     asked = [c for c in docs.columns if c not in own]
-    # A text column of another type or name would be a caller's error; ids are matched by value.
+    # Which lines go may be much or little; texts are always dealt by id, at any size.
     dropped = dropped_lines(docs, **options)
     here = docs.select(*asked, id_of().alias("_id"))
-    joined = here.join(dropped, "_id", "left").withColumn("_lines", F.split(whole_text(), "\n"))
+    joined = here.join(dropped.hint("merge"), "_id", "left").withColumn("_lines", F.split(whole_text(), "\n"))
     none = F.col("_dropped").isNull()
     kept = F.array_join(_without(F.col("_lines"), F.col("_dropped")), "\n")
     return joined.select(
