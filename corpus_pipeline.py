@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import chosen_path, line_dedup, packing, pii, quality
-from tallyframe.llm.common import table, write_out
+from tallyframe.llm.common import settled, table, write_out
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the target-against-corpus test reject go."""
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    return judged.withColumn("_kept", settled(F.col("kept"))).filter("_kept").select(*docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
