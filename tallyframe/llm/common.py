@@ -62,3 +62,28 @@ def write_out(frame: DataFrame, name: str) -> DataFrame:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex}"
+
+
+def among(keys: DataFrame, column: str, bits: int = 22) -> Column:
+    """A condition on ``column`` that holds for all values in ``keys``, and few others.
+
+    A bitmap of 2**bits hashed values, the same size for any input. It spares a
+    shuffle rows that a join would drop; with very many keys it lets all pass.
+    """
+    at = F.pmod(F.xxhash64(column), F.lit(2**bits))
+    word, bit = F.shiftright(at, 6), (at % 64).cast("int")
+    # A left shift by a column has no function of its own name for columns.
+    own = keys.select(word.alias("w"), F.expr("1L").alias("one"), bit.alias("b"))
+    own = own.selectExpr("w", "shiftleft(one, b) AS v").groupBy("w").agg(F.bit_or("v").alias("v"))
+    words = keys.sparkSession.range(2 ** (bits - 6)).withColumnRenamed("id", "w")
+    row = words.join(own, "w", "left").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("w", F.coalesce("v", F.lit(0)).alias("v")))),
+            lambda x: x["v"],
+        ).alias("bitmap")
+    )
+    return F.get(row.scalar(), word.cast("int")).bitwiseAND(_power(bit)) != 0
+
+
+def _power(bit: Column) -> Column:
+    return F.get(F.array(*[F.lit(2**k if k < 63 else -(2**63)) for k in range(64)]), bit)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chosen_path, exact_dedup, line_dedup, oracles, packing, pieces, pii, quality, warc
+from tallyframe.llm import chosen_path, exact_dedup, line_dedup, oracles, packing, pieces, pii, quality, substrings, warc
 from tallyframe.llm.common import table
 
 #: Where the public tokenizers lie; a parameter of the operator.
@@ -16,6 +16,10 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base", "places", "_text")
@@ -57,6 +61,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_suffix_array_dedup,
         op2_pii,
         op3_exact_dedup,
         op4_line_dedup,
