@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chosen_path, exact_dedup, line_dedup, oracles, packing, pieces, pii, quality, substrings, warc
+from tallyframe.llm import chosen_path, exact_dedup, fm_index, line_dedup, oracles, packing, pieces, pii, quality, substrings, warc
 from tallyframe.llm.common import table
 
 #: Where the public tokenizers lie; a parameter of the operator.
@@ -40,6 +40,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, PIECE_MODEL, with_ids=False).drop("ids")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return fm_index.dedup(docs, with_text=False).drop("intervals")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("url")
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
         op3_exact_dedup,
         op4_line_dedup,
         op5_sentencepiece,
+        op6_substring_dedup,
         op7_warc,
         op8_quality_rules,
         op9_ngram_jaccard_join,

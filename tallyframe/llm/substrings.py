@@ -65,7 +65,7 @@ class Hashed:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start])
 
 
-def _least(values: np.ndarray, width: int) -> np.ndarray:
+def least_of_neighbours(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbours, by running minima from both sides of blocks."""
     count = len(values) - width + 1
     blocks = -(-len(values) // width)
@@ -88,7 +88,7 @@ def anchors(data: bytes, width: int, gram: int) -> tuple[np.ndarray, ...]:
         grams = hashed.of(at, at + gram)
         # Equal high bits are settled by the place, so that the leftmost wins.
         keys = (grams & ~place) | at.astype(np.uint64)
-        where = (_least(keys, width - gram + 1) & place).astype(np.int64)
+        where = (least_of_neighbours(keys, width - gram + 1) & place).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(where)) + 1])
         last = np.concatenate([first[1:], [len(where)]]) - 1
         own = where[first]
