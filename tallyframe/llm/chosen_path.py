@@ -42,7 +42,7 @@ CHILDREN = 2
 SMALL = 64
 DENSE = 0.5
 MAX_DEPTH = 6
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 4_000_000
 #: Pairs whose embeddings agree in fewer coordinates are not verified; at similarity 0.8
 #: this loses less than one pair in a million.
@@ -270,9 +270,9 @@ def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     place = column[inverse]
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     total = np.zeros((len(sets), len(sets)), np.float32)
-    for at in range(0, len(shared), 8_192):
-        dense = np.zeros((len(sets), min(8_192, len(shared) - at)), np.float32)
-        inside = (place >= at) & (place < at + 8_192)
+    for at in range(0, len(shared), 4_096):
+        dense = np.zeros((len(sets), min(4_096, len(shared) - at)), np.float32)
+        inside = (place >= at) & (place < at + 4_096)
         dense[row[inside], place[inside] - at] = 1
         total += dense @ dense.T
     return total[a, b].astype(np.int64)
