@@ -13,9 +13,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tallyframe.catalog import ALL_KINDS, kind_of
+from tallyframe.catalog import ALL_KINDS, LOGISTIC, kind_of
 from tallyframe.operators.evaluation import accuracy_lines
-from tallyframe.operators.training import MAX_TRAINING_PARTITIONS
 from tallyframe.plans.runs import RunResult, score_saved, train_and_validate
 
 
@@ -27,8 +26,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     train.add_argument("--validation", nargs="+", required=True)
     train.add_argument("--models")
     train.add_argument("--overwrite", action="store_true")
-    train.add_argument("--max-partitions", type=int, default=MAX_TRAINING_PARTITIONS)
+    train.add_argument("--max-partitions", type=int)
     train.add_argument("--parallelism", type=int, default=1)
+    train.add_argument("--iterations", type=int, help="of logistic regression, at most")
+    train.add_argument("--tolerance", type=float, help="of logistic regression")
     predict = commands.add_parser("predict")
     predict.add_argument("--testing", nargs="+", required=True)
     predict.add_argument("--models", required=True)
@@ -37,6 +38,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         command.add_argument("--report")
         command.add_argument("--strict-width", action="store_true")
         command.add_argument("--dataset-name")
+        command.add_argument("--header", help="the header line, if it is known")
     return parser.parse_args(argv)
 
 
@@ -51,6 +53,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tallyframe").getOrCreate()
     kinds = ALL_KINDS if not args.kind else [kind_of(key) for key in args.kind]
     if args.command == "train":
+        given = {"iterations": args.iterations, "tolerance": args.tolerance}
+        logistic = {name: value for name, value in given.items() if value is not None}
         result = train_and_validate(
             spark,
             args.training,
@@ -61,6 +65,8 @@ def main(argv: list[str] | None = None) -> None:
             overwrite_models=args.overwrite,
             max_partitions=args.max_partitions,
             parallelism=args.parallelism,
+            header=args.header,
+            options={LOGISTIC.key: logistic},
             strict_width=args.strict_width,
         )
     else:
@@ -71,6 +77,7 @@ def main(argv: list[str] | None = None) -> None:
             kinds,
             report_path=args.report,
             strict_width=args.strict_width,
+            header=args.header,
         )
     _print(result, args.dataset_name)
 

@@ -1,4 +1,5 @@
-from tallyframe.functions.labels import seen_labels, with_class_index, with_label_domain
+from tallyframe.functions.labels import with_class_index, with_label_domain
+from tallyframe.functions.settled import settled
 from tallyframe.functions.text import cut_cell, double_text, required_text, vector_text
 from tallyframe.functions.votes import majority_vote
 
@@ -7,7 +8,7 @@ __all__ = [
     "double_text",
     "majority_vote",
     "required_text",
-    "seen_labels",
+    "settled",
     "vector_text",
     "with_class_index",
     "with_label_domain",

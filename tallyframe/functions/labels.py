@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyframe.catalog import NUM_CLASSES
 
-# A label column with more values than this is taken for a mistake.
-MAX_SEEN_LABELS = 10_000
-
-
 def _nominal(size: int) -> dict:
     return {"ml_attr": {"type": "nominal", "num_vals": size}}
 
@@ -28,19 +24,6 @@ def with_label_domain(examples: DataFrame, num_classes: int = NUM_CLASSES) -> Da
     )
 
 
-def seen_labels(examples: DataFrame, most: int = MAX_SEEN_LABELS) -> list[float]:
-    """Distinct labels in ascending order; more than ``most`` are an error.
-
-    One aggregate with a map-side combine, so a common label sends one row per
-    task. One row per class comes back, which is the size of the model that is
-    about to be trained.
-    """
-    rows = examples.select("label").distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} distinct labels")
-    return sorted(row["label"] for row in rows)
-
-
 def with_class_index(examples: DataFrame, labels: Sequence[float], column: str) -> DataFrame:
     """Position of each label in ``labels``. A label not in the list fails the job."""
     position = F.array_position(F.lit(list(labels)), F.col("label"))

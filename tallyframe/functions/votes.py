@@ -32,21 +32,42 @@ def _listed(votes: Column) -> Column:
     return -F.array_max(ranked)["c"]
 
 
+def _legal(votes: Sequence[Column], num_classes: int) -> Column:
+    """Whether all votes are classes; null if one is null."""
+    low, high = (F.least(*votes), F.greatest(*votes)) if len(votes) > 1 else (votes[0], votes[0])
+    # No vote is below zero, so the fractions cannot cancel each other.
+    whole = reduce(add, [v.cast("int") for v in votes]) == reduce(add, votes)
+    return whole & (low >= 0) & (high < num_classes)
+
+
 def majority_vote(
-    df: DataFrame, votes: Sequence[str], out: str, num_classes: int = NUM_CLASSES
+    df: DataFrame,
+    votes: Sequence[str],
+    out: str,
+    num_classes: int = NUM_CLASSES,
+    trusted: bool = False,
 ) -> DataFrame:
     """Replace the vote columns, holding 0 .. num_classes-1, by the winner ``out``.
 
+    Any other vote, null too, fails the job, unless the votes are ``trusted``
+    because a model of so many classes has made them.
+
     The votes per class are kept as digits of one BIGINT, which is integer
     arithmetic in generated code. Ensembles too wide for that take the same
     vote over an array, with interpreted lambdas.
     """
     kept = [F.col(f"`{name}`") for name in df.columns if name not in votes]
+    cast = [F.col(f"`{name}`") for name in votes]
+    refused = F.raise_error(F.lit(f"a vote is none of the classes 0 to {num_classes - 1}"))
+
+    def checked(winner: Column) -> Column:
+        return winner if trusted else F.when(_legal(cast, num_classes), winner).otherwise(refused)
+
     bits = len(votes).bit_length()
     if bits * num_classes > 63:
-        listed = df.select(*kept, F.array(*votes).alias("__votes"))
+        listed = df.select(*kept, checked(F.array(*cast)).alias("__votes"))
         return listed.select(*kept, _listed(F.col("__votes")).alias(out))
     one = F.lit(1).cast("bigint")
-    digits = [F.call_function("shiftleft", one, F.col(v).cast("int") * bits) for v in votes]
-    tallied = df.select(*kept, reduce(add, digits).alias("__tally"))
+    digits = [F.call_function("shiftleft", one, v.cast("int") * bits) for v in cast]
+    tallied = df.select(*kept, checked(reduce(add, digits)).alias("__tally"))
     return tallied.select(*kept, _counted(F.col("__tally"), num_classes, bits).alias(out))

@@ -1,7 +1,8 @@
 """Comparing predictions with labels.
 
 Each measure is one aggregate: partial results per task, one row at the end.
-A frame without rows gives NaN, as zero divided by zero does.
+A frame without rows gives NaN, as zero divided by zero does. A null prediction
+or label fails the job, so that no row can drop out of a measure.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from tallyframe.catalog import ALL_KINDS, ModelKind
 
 
 def _correct(prediction: str, label: str) -> Column:
-    return F.col(prediction) == F.col(label)
+    held = F.col(prediction).isNotNull() & F.col(label).isNotNull()
+    return F.when(held, F.col(prediction) == F.col(label)).otherwise(
+        F.raise_error(F.lit(f"null in {prediction} or {label}"))
+    )
 
 
 def _share(condition: Column) -> Column:

@@ -6,8 +6,9 @@ saved in Spark's own format.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
@@ -17,6 +18,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
     NaiveBayes,
+    NaiveBayesModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer
@@ -41,41 +43,41 @@ from tallyframe.catalog import (
     TREE_SEED,
     ModelKind,
 )
-from tallyframe.functions.labels import seen_labels, with_class_index, with_label_domain
+from tallyframe.functions.labels import with_class_index, with_label_domain
 from tallyframe.operators.voting import VotingForest
 
 # Only the class is asked for, so scoring makes one call per row and model.
 _CLASS_ONLY = {"rawPredictionCol": "", "probabilityCol": ""}
 
-# Tree training shuffles one histogram per partition and node, into as many
-# reducers as there are partitions, and each of the 100 or more steps of
-# logistic regression runs one task per partition. So their cost grows with the
-# number of partitions, not only with the rows. At 100 TB, splits of 128 MB
-# would make 800,000 of them; this bound makes it 20,000 of 5 GB, which are
-# still several per core on 1,000 executors.
-MAX_TRAINING_PARTITIONS = 20_000
 
-
-def bounded_partitions(
-    examples: DataFrame, max_partitions: int = MAX_TRAINING_PARTITIONS
-) -> DataFrame:
+def bounded_partitions(examples: DataFrame, max_partitions: int | None = None) -> DataFrame:
     """Join neighbouring splits, without a shuffle, down to ``max_partitions``.
 
-    Frames with fewer partitions are left as they are.
+    The cost of trees and of logistic regression also grows with the number of
+    partitions. That number is best set where the splits are made, by
+    ``spark.sql.files.maxPartitionBytes``. A bound given here makes another
+    forest, since bagging draws by partition; the other models stay the same up
+    to rounding. Without a bound nothing is done.
     """
-    return examples.coalesce(max_partitions)
+    return examples if max_partitions is None else examples.coalesce(max_partitions)
 
 
 def fit_logistic(
-    examples: DataFrame, num_classes: int = NUM_CLASSES
+    examples: DataFrame,
+    num_classes: int = NUM_CLASSES,
+    iterations: int = LOGISTIC_ITERATIONS,
+    tolerance: float = LOGISTIC_TOLERANCE,
 ) -> LogisticRegressionModel:
-    """Multinomial, no intercept, no regularization. Spark caches its own blocks."""
+    """Multinomial, no intercept, no regularization. Spark caches its own blocks.
+
+    Every iteration is a pass; ``model.summary.totalIterations`` tells how many there were.
+    """
     estimator = LogisticRegression(
         family="multinomial",
         fitIntercept=False,
         regParam=0.0,
-        maxIter=LOGISTIC_ITERATIONS,
-        tol=LOGISTIC_TOLERANCE,
+        maxIter=iterations,
+        tol=tolerance,
         **_CLASS_ONLY,
     )
     return estimator.fit(with_label_domain(examples, num_classes))
@@ -97,12 +99,14 @@ def fit_tree(
 def fit_bayes(examples: DataFrame, labels: Sequence[float] | None = None) -> PipelineModel:
     """Multinomial naive Bayes over the classes that occur.
 
-    The model numbers its classes 0, 1, ... so labels are indexed for training
-    and mapped back after scoring. The mapping back is a stage of the model.
-    Pass ``labels`` (all that occur) to save the job that lists them.
+    The model numbers its classes 0, 1, ... in the order of the labels. They are
+    mapped back after scoring, by a stage of the model. Whole labels are fitted
+    as they are, and the pass of the fit lists them. For others pass ``labels``,
+    all that occur.
     """
     if labels is None:
-        labels = seen_labels(examples)
+        model, labels = _fit_whole_labels(examples)
+        return _with_label_values(model, labels)
     labels = sorted(labels)
     estimator = NaiveBayes(
         modelType="multinomial",
@@ -111,7 +115,22 @@ def fit_bayes(examples: DataFrame, labels: Sequence[float] | None = None) -> Pip
         predictionCol="__found",
         **_CLASS_ONLY,
     )
-    model = estimator.fit(with_class_index(examples, labels, "__class"))
+    return _with_label_values(estimator.fit(with_class_index(examples, labels, "__class")), labels)
+
+
+def _fit_whole_labels(examples: DataFrame) -> tuple[NaiveBayesModel, list[float]]:
+    estimator = NaiveBayes(
+        modelType="multinomial",
+        smoothing=BAYES_SMOOTHING,
+        predictionCol="__found",
+        **_CLASS_ONLY,
+    )
+    model = estimator.fit(examples)
+    # Class i of the model is the i-th label; the fitted model keeps the list.
+    return model, list(model._java_obj.oldLabels())
+
+
+def _with_label_values(model: NaiveBayesModel, labels: Sequence[float]) -> PipelineModel:
     values = ", ".join(f"CAST('{label!r}' AS DOUBLE)" for label in labels)
     to_label = SQLTransformer(
         statement=(
@@ -137,7 +156,7 @@ def fit_forest(
     return VotingForest(estimator.fit(with_label_domain(examples, num_classes)))
 
 
-_FITS: dict[str, Callable[[DataFrame], Transformer]] = {
+_FITS: dict[str, Callable[..., Transformer]] = {
     LOGISTIC.key: fit_logistic,
     TREE.key: fit_tree,
     BAYES.key: fit_bayes,
@@ -159,12 +178,16 @@ def worth_keeping(kinds: Iterable[ModelKind]) -> bool:
     return sum(_PASSES[kind.key] for kind in kinds) > 2
 
 
-def fit(examples: DataFrame, kind: ModelKind) -> Transformer:
-    return _FITS[kind.key](examples)
+def fit(examples: DataFrame, kind: ModelKind, **options: float) -> Transformer:
+    return _FITS[kind.key](examples, **options)
 
 
 def fit_all(
-    examples: DataFrame, kinds: Iterable[ModelKind] = ALL_KINDS, parallelism: int = 1
+    examples: DataFrame,
+    kinds: Iterable[ModelKind] = ALL_KINDS,
+    parallelism: int = 1,
+    options: Mapping[str, Mapping[str, float]] | None = None,
+    on_fitted: Callable[[ModelKind, Transformer], None] | None = None,
 ) -> dict[str, Transformer]:
     """Train several models on one frame, ``parallelism`` of them at a time.
 
@@ -173,14 +196,34 @@ def fit_all(
     and only one keeps its own form of the rows at a time. On small data,
     logistic regression is hundreds of short jobs, and the other fits can run
     beside it. The models do not depend on ``parallelism``.
+
+    ``options`` are further arguments of single fits, by key of the kind.
+    ``on_fitted`` is called as each fit ends. When one fails no other is
+    started, and those that run are cancelled.
     """
-    kinds = list(kinds)
-    spark = examples.sparkSession
+    kinds, options = list(kinds), options or {}
 
-    @inheritable_thread_target(spark)
     def run(kind: ModelKind) -> Transformer:
-        return fit(examples, kind)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(kinds)))) as pool:
-        futures = {kind.key: pool.submit(run, kind) for kind in kinds}
+        model = fit(examples, kind, **options.get(kind.key, {}))
+        if on_fitted is not None:
+            on_fitted(kind, model)
+        return model
+
+    if parallelism <= 1 or len(kinds) <= 1:
+        return {kind.key: run(kind) for kind in kinds}
+    context, tag = examples.sparkSession.sparkContext, f"fits-{uuid.uuid4().hex}"
+
+    @inheritable_thread_target(examples.sparkSession)
+    def tagged(kind: ModelKind) -> Transformer:
+        context.addJobTag(tag)
+        return run(kind)
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(kinds))) as pool:
+        futures = {kind.key: pool.submit(tagged, kind) for kind in kinds}
+        done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
+        failed = next((f for f in done if f.exception() is not None), None)
+        if failed is not None:
+            pool.shutdown(wait=False, cancel_futures=True)
+            context.cancelJobsWithTag(tag)
+            failed.result()
         return {key: future.result() for key, future in futures.items()}

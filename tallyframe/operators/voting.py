@@ -33,7 +33,9 @@ class VotingForest(Transformer):
         for tree in self._trees:
             dataset = tree.transform(dataset)
         votes = [tree.getPredictionCol() for tree in self._trees]
-        return majority_vote(dataset, votes, "prediction", self.forest.numClasses)
+        return majority_vote(
+            dataset, votes, "prediction", self.forest.numClasses, trusted=True
+        )
 
     def write(self) -> MLWriter:
         return self.forest.write()

@@ -13,14 +13,10 @@ from tallyframe.catalog import ALL_KINDS, ModelKind
 from tallyframe.operators.evaluation import accuracy_of, accuracy_summary
 from tallyframe.operators.reports import comparison_report, model_report, write_report
 from tallyframe.operators.scoring import score_all
-from tallyframe.operators.training import (
-    MAX_TRAINING_PARTITIONS,
-    bounded_partitions,
-    fit_all,
-    worth_keeping,
-)
+from tallyframe.operators.training import bounded_partitions, fit_all, worth_keeping
 from tallyframe.sources.delimited import load_labelled
-from tallyframe.sources.saved_models import load_models, save_models
+from tallyframe.sources.saved_models import load_models, model_path, save_model
+from tallyframe.storage import refuse_existing
 
 
 @dataclass(frozen=True)
@@ -73,27 +69,46 @@ def train_and_validate(
     model_directory: str | None = None,
     report_path: str | None = None,
     overwrite_models: bool = False,
-    max_partitions: int = MAX_TRAINING_PARTITIONS,
+    max_partitions: int | None = None,
     strict_width: bool = False,
     parallelism: int = 1,
+    header: str | None = None,
+    keep: bool | None = None,
+    options: Mapping[str, Mapping[str, float]] | None = None,
 ) -> RunResult:
-    """Fit every kind on one set, score the other, report, and save the models."""
+    """Fit every kind on one set, score the other, report, and save the models.
+
+    Paths that exist already are refused before anything is read, and each model
+    is saved as its fit ends. ``header`` is the header line of both sets, if it is
+    known. ``keep`` tells whether the parsed examples are persisted; by default
+    they are if the fits make more than two passes. ``options`` go to single
+    fits, as ``{"logistic": {"iterations": 20, "tolerance": 1e-4}}``.
+    """
     kinds = _in_order(kinds)
-    training = load_labelled(spark, training_paths, strict_width=strict_width)
-    test = load_labelled(spark, validation_paths, strict_width=strict_width)
+    if model_directory is not None and not overwrite_models:
+        for kind in kinds:
+            refuse_existing(spark, model_path(model_directory, kind))
+    if report_path is not None:
+        refuse_existing(spark, report_path)
+    training = load_labelled(spark, training_paths, header, strict_width=strict_width)
+    test = load_labelled(spark, validation_paths, header, strict_width=strict_width)
     examples = bounded_partitions(training, max_partitions)
     # The text is parsed once and kept for all fits. What a lost executor held
     # is parsed again from its own splits.
-    keep = worth_keeping(kinds)
+    if keep is None:
+        keep = worth_keeping(kinds)
+
+    def save(kind: ModelKind, model: Transformer) -> None:
+        if model_directory is not None:
+            save_model(model, model_path(model_directory, kind), overwrite_models)
+
     if keep:
         examples.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = fit_all(examples, kinds, parallelism)
+        models = fit_all(examples, kinds, parallelism, options, save)
     finally:
         if keep:
             examples.unpersist()
-    if model_directory is not None:
-        save_models(models, model_directory, overwrite_models)
     report, summary = _evaluate(spark, test, models, kinds, report_path, training=True)
     return RunResult(models, report, summary)
 
@@ -105,10 +120,13 @@ def score_saved(
     kinds: Iterable[ModelKind] = ALL_KINDS,
     report_path: str | None = None,
     strict_width: bool = False,
+    header: str | None = None,
 ) -> RunResult:
     """Load models, score one set with all of them, and report."""
     kinds = _in_order(kinds)
-    test = load_labelled(spark, testing_paths, strict_width=strict_width)
+    if report_path is not None:
+        refuse_existing(spark, report_path)
+    test = load_labelled(spark, testing_paths, header, strict_width=strict_width)
     models = load_models(model_directory, kinds)
     report, summary = _evaluate(spark, test, models, kinds, report_path, training=False)
     return RunResult(models, report, summary)

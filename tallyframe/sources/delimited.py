@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.functions.settled import settled
+
 SEPARATOR = ";"
 
 # Spark reads 'inf' and 'nan' in any case as numbers. The accepted spellings
@@ -40,13 +41,19 @@ def probe_header(spark: SparkSession, paths: str | Sequence[str]) -> str:
     """First line of the source, in the order of paths and file names.
 
     A directory scan hands out its largest splits first, so ``first()`` on the
-    whole source may come from any file. Reading the first file by name keeps
-    the answer stable and costs one single-task job; empty files are skipped.
+    whole source may come from any file. The first file by name that is not
+    empty is found from the listing, as an aggregate on the executors, and then
+    read by itself. A compressed file may hold no line; then the next one is asked for.
     """
     for path in _as_list(paths):
-        for file in sorted(map(unquote, spark.read.text(path).inputFiles())):
-            literal = _GLOB_CHARACTERS.sub(r"\\\1", file)
-            row = spark.read.text(literal).select("value").first()
+        listed = spark.read.format("binaryFile").load(path).select("path", "length")
+        files, file = listed.filter("length > 0"), ""
+        while True:
+            later = files.filter(F.col("path") > file).agg(F.min("path").alias("path"))
+            file = later.first()["path"]
+            if file is None:
+                break
+            row = spark.read.text(_GLOB_CHARACTERS.sub(r"\\\1", file)).select("value").first()
             if row is not None:
                 return row["value"]
     raise ValueError(f"no lines in {paths}")
@@ -88,13 +95,18 @@ def _examples(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _holds_null(numbers: Column) -> Column:
+    # Nulls sort first; unlike a lambda this stays in generated code.
+    return F.get(F.sort_array(numbers), F.lit(0)).isNull()
+
+
 def _lenient(lines: DataFrame, width: int | None) -> DataFrame:
     numbers = F.col("fields").try_cast("array<double>")
     parsed = split_fields(lines).withColumn("numbers", numbers)
-    good = ~F.exists("numbers", lambda x: x.isNull()) & _accepted(F.col("value"), F.col("numbers"))
+    good = ~_holds_null(F.col("numbers")) & _accepted(F.col("value"), F.col("numbers"))
     if width is not None:
         good = good & (F.size("fields") == width)
-    return parsed.withColumn("good", good)
+    return parsed.withColumn("good", settled(good))
 
 
 def parse_labelled(lines: DataFrame, width: int | None = None, strict: bool = True) -> DataFrame:
@@ -108,20 +120,18 @@ def parse_labelled(lines: DataFrame, width: int | None = None, strict: bool = Tr
     if not strict:
         return _examples(_lenient(lines, width).filter("good"))
     fields = split_fields(lines)
-    if width is not None:
-        wrong = F.raise_error(F.concat(F.lit(f"expected {width} fields: "), F.col("value")))
-        fields = fields.withColumn(
-            "fields", F.when(F.size("fields") == width, F.col("fields")).otherwise(wrong)
-        )
     parsed = fields.withColumn("numbers", F.col("fields").cast("array<double>"))
     accepted = _accepted(F.col("value"), F.col("numbers"))
     if str(lines.sparkSession.conf.get("spark.sql.ansi.enabled")).lower() != "true":
         # Here the cast itself does not fail but leaves nulls behind.
-        accepted = accepted & ~F.exists("numbers", lambda x: x.isNull())
+        accepted = accepted & ~_holds_null(F.col("numbers"))
     refused = F.raise_error(F.concat(F.lit("not a number in: "), F.col("value")))
-    return _examples(
-        parsed.withColumn("numbers", F.when(accepted, F.col("numbers")).otherwise(refused))
-    )
+    good = F.when(accepted, F.lit(True)).otherwise(refused)
+    if width is not None:
+        wrong = F.raise_error(F.concat(F.lit(f"expected {width} fields: "), F.col("value")))
+        good = F.when(F.size("fields") == width, good).otherwise(wrong)
+    # As a filter the check outlives pruning: counting the examples fails as well.
+    return _examples(parsed.withColumn("good", settled(good)).filter("good"))
 
 
 def rejected_lines(lines: DataFrame, width: int | None = None) -> DataFrame:

@@ -8,14 +8,28 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def new_shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only a session that names no such folder (a test on one machine) gets a
-    temporary directory. The directory is left in place, since frames that
-    read it are lazy.
+    A session without either gets a temporary folder if driver and executors are
+    one process. On a cluster that would be another folder on each machine, so
+    there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tallyframe-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tallyframe-")
+
+
+def new_shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder. It is left in place, since frames that read it are lazy."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def refuse_existing(spark: SparkSession, path: str) -> None:
+    """Fail now if ``path`` exists, rather than after hours of work."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        raise FileExistsError(f"path already exists: {path}")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from conftest import SF_DIR
 from tallyframe import ALL_KINDS, BAYES, FOREST, LOGISTIC, TREE, kind_of
-from tallyframe.functions import seen_labels, with_class_index, with_label_domain
+from tallyframe.functions import with_class_index, with_label_domain
+from tallyframe.operators import training
 from tallyframe.operators import (
     accuracy,
     accuracy_metrics,
@@ -95,15 +96,34 @@ def test_unlabelled_rows_can_be_scored(examples, models):
 
 def test_bayes_takes_any_label_values_in_numeric_order(spark, examples):
     shifted = examples.withColumn("label", F.when(F.col("label") == 3, 10.5).otherwise(F.col("label")))
-    predicted = score(shifted, fit_bayes(shifted)).select("prediction").distinct()
+    predicted = score(shifted, fit_bayes(shifted, [4, 5, 6, 7, 8, 10.5])).select("prediction").distinct()
     assert {row["prediction"] for row in predicted.collect()} == {4.0, 5.0, 6.0, 7.0, 8.0, 10.5}
 
 
-def test_listing_labels_is_bounded(examples):
-    assert seen_labels(examples) == [3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
-    assert seen_labels(examples, most=6)[-1] == 8.0
-    with pytest.raises(ValueError, match="more than 5"):
-        seen_labels(examples, most=5)
+def test_bayes_lists_whole_labels_in_the_pass_of_the_fit(spark, examples):
+    group = "bayes-jobs"
+    spark.sparkContext.setJobGroup(group, "")
+    fit_bayes(examples, labels=[3.0, 4.0, 5.0, 6.0, 7.0, 8.0])
+    given = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup(f"{group}-2", "")
+    model = fit_bayes(examples)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{group}-2")) <= given
+    predicted = {r["prediction"] for r in score(examples, model).select("prediction").distinct().collect()}
+    assert predicted <= {3.0, 4.0, 5.0, 6.0, 7.0, 8.0}
+
+
+def test_one_failed_fit_starts_no_other(spark, examples, monkeypatch):
+    begun = []
+
+    def failing(frame, **options):
+        begun.append("logistic")
+        raise ValueError("no fit")
+
+    monkeypatch.setitem(training._FITS, "logistic", failing)
+    monkeypatch.setitem(training._FITS, "tree", lambda frame: begun.append("tree"))
+    with pytest.raises(ValueError, match="no fit"):
+        fit_all(examples, [LOGISTIC, TREE])
+    assert begun == ["logistic"]
 
 
 def test_bayes_refuses_negative_features(spark):

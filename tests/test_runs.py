@@ -6,6 +6,7 @@ from checks import fixtures
 from conftest import SF_DIR
 from tallyframe import ALL_KINDS, BAYES, FOREST, LOGISTIC, TREE
 from tallyframe.__main__ import main
+from tallyframe.operators import training
 from tallyframe.operators.training import worth_keeping
 from tallyframe.plans import score_saved, train_and_validate
 
@@ -81,3 +82,39 @@ def test_command_line(spark, lines, tmp_path, capsys):
     assert predicted.splitlines()[-2].endswith("(Decision Tree on T.csv)")
     with pytest.raises(SystemExit):
         main(["predict", "--testing", lines])
+
+
+def test_existing_paths_are_refused_before_any_job(spark, lines, tmp_path):
+    (tmp_path / "models" / BAYES.directory).mkdir(parents=True)
+    (tmp_path / "report").mkdir()
+    spark.sparkContext.setJobGroup("early", "")
+    for paths in ({"model_directory": str(tmp_path / "models")}, {"report_path": str(tmp_path / "report")}):
+        with pytest.raises(FileExistsError):
+            train_and_validate(spark, lines, lines, [BAYES], **paths)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("early")
+
+
+def test_models_are_saved_as_their_fits_end(spark, lines, tmp_path, monkeypatch):
+    def failing(frame, **options):
+        raise ValueError("no fit")
+
+    monkeypatch.setitem(training._FITS, FOREST.key, failing)
+    with pytest.raises(ValueError, match="no fit"):
+        train_and_validate(spark, lines, lines, [TREE, FOREST], model_directory=str(tmp_path / "m"))
+    assert [p.name for p in (tmp_path / "m").iterdir()] == [TREE.directory]
+
+
+def test_the_number_of_partitions_is_left_alone(spark, lines):
+    from tallyframe.operators import bounded_partitions
+
+    frame = spark.range(100, numPartitions=7)
+    assert bounded_partitions(frame) is frame
+    assert bounded_partitions(frame, 3).rdd.getNumPartitions() == 3
+
+
+def test_scores_are_those_of_the_validation_set(spark, write_files):
+    train = write_files({"t.csv": "a;b;l\n1;0;3\n1;0;3\n0;1;5\n"}, "train")
+    check = write_files({"v.csv": "a;b;l\n1;0;5\n0;1;5\n"}, "check")
+    run = train_and_validate(spark, train, check, [BAYES, TREE], header="a;b;l", keep=False)
+    assert run.report.count() == 2
+    assert {r.accuracy for r in run.summary.collect()} == {0.5}

@@ -131,3 +131,29 @@ def test_a_header_only_source_scores_nan(spark, write_files):
     scored = empty.withColumn("prediction", F.lit(1.0))
     assert math.isnan(accuracy(scored).first()["accuracy"])
     assert math.isnan(error_rate(scored).first()["error_rate"])
+
+
+@pytest.mark.parametrize("line", ["a;2", "1;2;3", "inf;1", "1;nAn"])
+def test_counting_is_as_strict_as_reading(spark, line):
+    lines = spark.createDataFrame([("1;2",), (line,)], "value string")
+    with pytest.raises(Exception):
+        parse_labelled(lines, width=2).count()
+    assert parse_labelled(lines, width=2, strict=False).count() == 1
+
+
+def test_the_probe_runs_as_many_jobs_however_many_files_are_empty(spark, write_files):
+    def jobs(files, directory, group):
+        path = write_files(files, directory)
+        spark.sparkContext.setJobGroup(group, "")
+        assert probe_header(spark, path) == "h;l"
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few = jobs({"z.csv": "h;l\n1;2\n"}, "few", "probe-few")
+    many = {f"a{i:02}.csv": "" for i in range(30)} | {"z.csv": "h;l\n1;2\n"}
+    assert jobs(many, "many", "probe-many") <= few + 1
+
+
+def test_lenient_parse_stays_in_generated_code(spark):
+    lines = spark.createDataFrame([("1;2",)], "value string")
+    plan = parse_labelled(lines, strict=False)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("array<double>") <= 2

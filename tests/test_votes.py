@@ -28,3 +28,13 @@ def test_against_counting(spark, trees, classes):
 def test_unanimous_top_class(spark):
     frame = spark.createDataFrame([(9.0,) * 9], [f"v{i}" for i in range(9)])
     assert majority_vote(frame, frame.columns, "winner").first()["winner"] == 9.0
+
+
+@pytest.mark.parametrize("votes", [(12.0, 12.0, 3.0), (-1.0, 1.0, 1.0), (0.5, 0.5, 1.0), (None, 1.0, 1.0)])
+@pytest.mark.parametrize("classes", [10, 100])
+def test_votes_outside_the_classes_fail(spark, votes, classes):
+    if classes == 100 and votes[0] == 12.0:
+        votes = (120.0, 120.0, 3.0)
+    frame = spark.createDataFrame([votes], "a double, b double, c double")
+    with pytest.raises(Exception, match="none of the classes|CAST"):
+        majority_vote(frame, ["a", "b", "c"], "winner", classes).collect()
