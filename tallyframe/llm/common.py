@@ -40,15 +40,6 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, ascii_uppercase, ascii_lowercase)
 
 
-def settled(condition: Column) -> Column:
-    """A condition that is worked out where it stands.
-
-    A filter on it is not pushed below the columns it is made of, which would
-    write their expressions out again inside the filter.
-    """
-    return condition & (F.monotonically_increasing_id() >= 0)
-
-
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK_RUN), "")
 
