@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from string import ascii_lowercase, ascii_uppercase
 
@@ -51,6 +52,16 @@ def write_out(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps whose results are written.
+
+    They are kept until the driver collects the frames they belong to, which on a
+    driver with little to do may take longer than the whole job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex}"
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import among, id_back, id_of, whole_text, write_out
+from tallyframe.llm.common import among, id_back, id_of, release, whole_text, write_out
 from tallyframe.llm.shingles import windows
 from tallyframe.llm.substrings import least_of_neighbours
 
@@ -35,7 +35,7 @@ GRAM = 5
 SHARD_WORDS = 200_000
 #: An anchor with more distinct segments is dealt out window by window.
 CROWDED = 4_000
-BITMAP_BITS = 24
+BITMAP_BITS = 25
 PLACE_BITS = 20
 
 _DOC = ["_id", "_k"]
@@ -232,9 +232,8 @@ def _segments(docs: DataFrame, bitmap: np.ndarray, width: int, gram: int) -> Dat
                 ]
                 key = np.fromiter(map(xxhash.xxh3_64_intdigest, segments), np.uint64, len(segments))
                 digest = hashlib.sha256(b" ".join(words)).hexdigest()
-                segments = [s.decode() for s in segments]
-                out.append((len(words), digest, g, first, last, key.astype(np.int64), segments))
-            names = ["n", "sha", "g", "first", "last", "key", "segment"]
+                out.append((len(words), digest, g, first, last, key.astype(np.int64)))
+            names = ["n", "sha", "g", "first", "last", "key"]
             made = pd.DataFrame(out, columns=names)
             made.insert(0, "_k", rows["_k"])
             made.insert(0, "_id", rows["_id"])
@@ -242,17 +241,37 @@ def _segments(docs: DataFrame, bitmap: np.ndarray, width: int, gram: int) -> Dat
 
     shape = (
         "_id long, _k long, n long, sha string, g array<long>, first array<int>, "
-        "last array<int>, key array<long>, segment array<string>"
+        "last array<int>, key array<long>"
     )
     return write_out(docs.mapInPandas(run, shape), "segments")
 
 
+def _with_text(docs: DataFrame, kinds: DataFrame, width: int) -> DataFrame:
+    """(g, key, d, owner, segment): the words of segments, cut out of their owners' texts."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for owner, text, listed in zip(rows["_id"], rows["text"], rows["rows"], strict=True):
+                words = text.encode().split()
+                made = pd.DataFrame.from_records(listed, columns=["g", "key", "d", "first", "last"])
+                made["owner"] = owner
+                made["segment"] = [
+                    b" ".join(words[a : b + width]).decode()
+                    for a, b in zip(made.pop("first"), made.pop("last"), strict=True)
+                ]
+                yield made
+
+    wanted = kinds.groupBy(*_DOC).agg(
+        F.collect_list(F.struct("g", "key", "d", "first", "last")).alias("rows")
+    )
+    shape = "g long, key long, d long, owner long, segment string"
+    return write_out(_texts(docs, wanted).mapInPandas(cut, shape), "open-kinds")
+
+
 def _searched(rows: DataFrame, width: int, shard_words: int) -> DataFrame:
     """(g, key, owner, o, least, lone) for windows ``o`` of segments that occur again in their shard."""
-    rows = write_out(rows, "index-rows")
-    words = F.length("segment") - F.length(F.translate("segment", " ", "")) + 1
-    total = rows.agg(F.sum(words).alias("n")).first()["n"] or 0
-    shards = -(-total // shard_words) or 1
+    # The widest segment has two windows less than twice the width.
+    shards = -(-rows.count() * (2 * width) // shard_words) or 1
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("g"), F.lit(shards)))
 
     names = ["g", "key", "owner", "o", "least", "lone"]
@@ -290,18 +309,18 @@ def repeated(
     docs: DataFrame, found: DataFrame, width: int, shard_words: int, crowded: int
 ) -> DataFrame:
     """(_id, _k, start, end): words covered by windows that a smaller id has."""
-    zipped = F.explode(F.arrays_zip("g", "key", "first", "last", "segment")).alias("x")
+    zipped = F.explode(F.arrays_zip("g", "key", "first", "last")).alias("x")
     flat = found.select(*_DOC, zipped).select(*_DOC, "x.*")
-    kinds = flat.groupBy("g", "key", "segment").agg(
-        F.min("_id").alias("owner"), F.max("_id").alias("largest")
+    kinds = flat.groupBy("g", "key").agg(
+        F.min(F.struct(*_DOC, "first", "last")).alias("one"), F.max("_id").alias("largest")
     )
     kinds = write_out(kinds, "kinds")
-    later = kinds.filter("largest > owner").select("g", "key", "owner")
-    whole = flat.join(later, ["g", "key"]).filter("_id > owner")
-    stretches = whole.select(*_DOC, F.col("first").alias("start"), (F.col("last") + width).alias("end"))
-
+    release(docs.sparkSession)
+    # Written, so that a crowded anchor can be split in the join.
     number = kinds.groupBy("g").agg(F.count("*").alias("d")).filter("d > 1")
-    open_ = write_out(kinds.join(number, "g").drop("largest"), "open-kinds")
+    number = write_out(number, "open-anchors")
+    open_ = _with_text(docs, kinds.join(number, "g").select("g", "key", "d", "one.*"), width)
+    release(docs.sparkSession)
     plain = open_.filter(F.col("d") <= crowded)
     cut = _windows_of_crowded(open_.filter(F.col("d") > crowded), width)
     # Of equal windows, the least and the largest id stand for all.
@@ -315,9 +334,18 @@ def repeated(
     lone = searched.filter("lone").select(F.col("key").alias("wkey"), "least").distinct()
     by_window = cut.join(lone, "wkey").filter("owner > least").select("g", "key", "owner", "o")
     hits = hits.union(by_window)
-    own = flat.join(hits, ["g", "key"]).filter("_id = owner")
-    start = F.col("first") + F.col("o")
-    return stretches.union(own.select(*_DOC, start.alias("start"), (start + width).alias("end")))
+    hits = write_out(hits, "hits")
+    release(docs.sparkSession)
+    # Rows of a later document go as a whole, rows of the owner where a smaller one has the window.
+    whole = kinds.filter("largest > one._id").select(
+        "g", "key", F.col("one._id").alias("owner"), F.lit(None).cast("int").alias("o")
+    )
+    met = flat.join(whole.union(hits.select("g", "key", "owner", "o")), ["g", "key"])
+    later = F.col("o").isNull()
+    met = met.filter((later & (F.col("_id") > F.col("owner"))) | (~later & (F.col("_id") == F.col("owner"))))
+    start = F.when(later, F.col("first")).otherwise(F.col("first") + F.col("o"))
+    end = F.when(later, F.col("last")).otherwise(F.col("first") + F.col("o")) + width
+    return met.select(*_DOC, start.alias("start"), end.alias("end"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -349,10 +377,12 @@ def dedup(
     grams = _anchors(docs, width, gram).groupBy("g").agg(F.min("_id").alias("a"), F.max("_id").alias("b"))
     shared = write_out(grams.filter("a < b").select("g"), "shared-anchors")
     found = _segments(docs, _bitmap(shared), width, gram)
+    release(docs.sparkSession)
     stretches = repeated(docs, found, width, shard_words, crowded)
     wanted = write_out(
         stretches.groupBy(*_DOC).agg(F.collect_set(F.struct("start", "end")).alias("rows")), "covered"
     )
+    release(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:

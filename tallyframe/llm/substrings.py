@@ -213,7 +213,8 @@ def repeated(docs: DataFrame, scanned: DataFrame, width: int, run: int) -> DataF
     flat = scanned.select(*_DOC, F.explode(F.arrays_zip("g", "ctx", "p", "first", "last")).alias("x"))
     flat = flat.select(*_DOC, "x.*")
     # Pass 1.
-    common = flat.groupBy("g").count().filter("count > 1").select("g")
+    # Written, so that the join can split a hot gram.
+    common = write_out(flat.groupBy("g").count().filter("count > 1").select("g"), "shared-grams")
     rows = write_out(flat.join(common, "g", "left_semi"), "grams")
     # Pass 2.
     whole = ["g", "before", "after", "ctx"]
@@ -228,7 +229,7 @@ def repeated(docs: DataFrame, scanned: DataFrame, width: int, run: int) -> DataF
     stretch = [*_DOC, F.col("first").alias("start"), (F.col("last") + width).alias("end")]
     covered = rows.join(kinds.filter("times > 1").select(*whole), whole).select(*stretch)
     # Pass 3: one row stands for all that are equal.
-    differing = kinds.groupBy("g").count().filter("count > 1").select("g")
+    differing = write_out(kinds.groupBy("g").count().filter("count > 1").select("g"), "differing")
     open_ = kinds.join(differing, "g", "left_semi").select("g", "one.*")
     runs = _runs(docs, open_, width, run)
     core = ["g", "b", "core"]
