@@ -8,7 +8,7 @@ label among rows with equal features.
 from __future__ import annotations
 
 from checks.fixtures import CELLS, HEADER
-from tallyframe.catalog import ALL_KINDS, FEATURES_COLUMN, LABEL_COLUMN, TREE
+from tallyframe.catalog import ALL_KINDS, BAYES, FEATURES_COLUMN, LABEL_COLUMN, TREE
 
 # Text lines.
 
@@ -31,6 +31,14 @@ _FIELD = "string_split(regexp_replace(value, ';+$', ''), ';')"
 _FIELDS = ", ".join(f"CAST({_FIELD}[{i + 1}] AS DOUBLE) AS f{i}" for i in range(4))
 _LAST = f"CAST({_FIELD}[-1] AS DOUBLE) AS label"
 
+_NUMBER = "CAST(l_quantity AS VARCHAR)"
+_ODD = f"""SELECT l_linenumber AS kind, CAST(l_linenumber AS DOUBLE) AS label,
+  CASE l_linenumber WHEN 1 THEN 'x;' || {_NUMBER} || ';1.0' WHEN 2 THEN 'nan;' || {_NUMBER} || ';2.0'
+    WHEN 3 THEN 'NaN;' || {_NUMBER} || ';3.0' WHEN 4 THEN {_NUMBER} || ';4.0'
+    WHEN 5 THEN '0.0;0.0;' || {_NUMBER} || ';5.0' WHEN 6 THEN '-Infinity;' || {_NUMBER} || ';6.0'
+    ELSE '0.5;' || {_NUMBER} || ';' || CAST(CAST(l_linenumber AS DOUBLE) AS VARCHAR) END AS value
+  FROM lineitem"""
+
 # Labelled examples.
 
 _GRADED = """ex AS (
@@ -55,8 +63,8 @@ _CELLS = f"""ex AS (
   FROM (SELECT row_number() OVER () AS id, *, {_CELL_NUMBER} AS cell FROM lineitem))"""
 
 
-def _bayes(width: int) -> str:
-    """Tables ``par`` (log prior and log likelihoods) and ``nb`` (id, bayes)."""
+def _bayes(width: int, asked: str = "ex") -> str:
+    """Tables ``par`` (log prior and log likelihoods of ``ex``) and ``nb`` (id, bayes) of ``asked``."""
     sums = ", ".join(f"sum(f{j}) AS s{j}" for j in range(width))
     total = " + ".join(f"s{j}" for j in range(width))
     theta = ", ".join(
@@ -68,9 +76,9 @@ par AS (
   SELECT label, ln(n + 1) - ln(sum(n) OVER () + count(*) OVER ()) AS pi, {theta} FROM st),
 nb AS (
   SELECT id, bayes FROM (
-    SELECT ex.id, par.label AS bayes,
-      row_number() OVER (PARTITION BY ex.id ORDER BY {log_score} DESC, par.label) AS rank
-    FROM ex JOIN par ON TRUE) WHERE rank = 1)"""
+    SELECT {asked}.id, par.label AS bayes,
+      row_number() OVER (PARTITION BY {asked}.id ORDER BY {log_score} DESC, par.label) AS rank
+    FROM {asked} JOIN par ON TRUE) WHERE rank = 1)"""
 
 
 _BAYES_GRADED = (
@@ -91,6 +99,29 @@ scored AS (
       || ']' AS features
   FROM ex JOIN nb ON ex.id = nb.id JOIN best ON ex.cell = best.cell)"""
 
+# Training and validation rows apart: ``ex`` is learnt from, ``val`` is asked for.
+_SPLIT_WIDTH = len(CELLS)
+_TENFOLD = _CELL_FEATURES.replace("THEN 1", "THEN 10")
+_SPLIT_SCORED = f"""WITH item AS (
+  SELECT id, l_orderkey, l_linenumber, cell, {_TENFOLD}, l_orderkey % 10 < 8 AS learnt,
+    CAST(CASE WHEN l_quantity <= CASE WHEN l_orderkey % 10 < 8 THEN 10 ELSE 25 END THEN 3 + cell
+      WHEN l_quantity <= 40 THEN CASE WHEN cell < 3 THEN 3 ELSE 8 END
+      ELSE 3 + (l_linenumber - 1) % 6 END AS DOUBLE) AS label
+  FROM (SELECT row_number() OVER () AS id, *, {_CELL_NUMBER} AS cell FROM lineitem)),
+ex AS (SELECT * FROM item WHERE learnt),
+val AS (SELECT * FROM item WHERE NOT learnt),
+{_bayes(_SPLIT_WIDTH, "val")},
+best AS (
+  SELECT cell, label AS best FROM (
+    SELECT cell, label, row_number() OVER (
+      PARTITION BY cell ORDER BY count(*) DESC, label) AS rank
+    FROM ex GROUP BY cell, label) WHERE rank = 1),
+scored AS (
+  SELECT val.*, best AS logistic, best AS tree, bayes, best AS forest,
+    '[' || concat_ws(',', {", ".join(f"CAST(f{i} AS VARCHAR)" for i in range(_SPLIT_WIDTH))})
+      || ']' AS features
+  FROM val JOIN nb ON val.id = nb.id JOIN best ON val.cell = best.cell)"""
+
 _REPORT_START = (
     f'features AS "{FEATURES_COLUMN}", CAST(label AS VARCHAR) AS "{LABEL_COLUMN}"'
 )
@@ -104,6 +135,20 @@ _NOISY_SUMMARY = _CELLS_SCORED + ", summary AS (" + " UNION ALL ".join(
 ) + ")"
 
 
+_SPLIT_SUMMARY = _SPLIT_SCORED + ", summary AS (" + " UNION ALL ".join(
+    f"SELECT '{kind.title}' AS model, avg(CAST({kind.key} = label AS DOUBLE)) AS accuracy "
+    "FROM scored"
+    for kind in ALL_KINDS
+) + ")"
+
+
+def _split_report(kind, column: str) -> str:
+    return (
+        f'{_SPLIT_SCORED} SELECT {_REPORT_START}, CAST({kind.key} AS VARCHAR) AS "{column}" '
+        "FROM scored"
+    )
+
+
 def _noisy(kind) -> str:
     return (
         f"{_CELLS_SCORED} SELECT l_orderkey, l_linenumber, label, {kind.key} AS prediction "
@@ -159,6 +204,11 @@ ORACLES: dict[str, str] = {
     "parse_numeric": f"{_KEPT} SELECT {_FIELDS}, {_LAST} FROM kept",
     "parse_lenient": f"{_KEPT} SELECT {_FIELDS}, {_LAST} FROM kept",
     "rejected_lines": f"SELECT value FROM ({_ALL_LINES}) WHERE contains(value, '{HEADER}')",
+    "rejected_odd_lines": f"SELECT value FROM ({_ODD}) WHERE kind IN (1, 2, 4, 5)",
+    "parse_odd_lines": (
+        f"SELECT '[' || replace(regexp_replace(value, ';[^;]*$', ''), ';', ',') || ']' AS features, "
+        f"label FROM ({_ODD}) WHERE kind NOT IN (1, 2, 4, 5)"
+    ),
     "label_last_field": f"{_KEPT} SELECT {_LAST} FROM kept",
     "feature_vector": f"{_KEPT} SELECT {_FIELDS} FROM kept",
     "labelled_examples": (
@@ -187,7 +237,7 @@ ORACLES: dict[str, str] = {
         for kind in ALL_KINDS
     },
     "models_side_by_side": (
-        f"{_CELLS_SCORED} SELECT l_orderkey, l_linenumber, label, "
+        f"{_SPLIT_SCORED} SELECT l_orderkey, l_linenumber, label, "
         + ", ".join(f"{kind.key} AS {kind.score_column}" for kind in ALL_KINDS)
         + " FROM scored"
     ),
@@ -210,8 +260,13 @@ ORACLES: dict[str, str] = {
     ),
     "accuracy_summary_noisy": f"{_NOISY_SUMMARY} SELECT model, accuracy FROM summary",
     "accuracy_lines": (
-        f"{_NOISY_SUMMARY} SELECT 'Accuracy = ' || CAST(accuracy AS VARCHAR) || ' (' || model "
-        "|| ')' AS line FROM summary"
+        f"{_SPLIT_SUMMARY} SELECT 'Accuracy = ' || CAST(accuracy AS VARCHAR) || ' (' || model "
+        "|| ' on validation)' AS line FROM summary"
+    ),
+    "empty_validation_lines": " UNION ALL ".join(
+        f"SELECT 'Accuracy = NaN ({kind.title})' AS line, n AS trained_on FROM "
+        "(SELECT count(*) AS n FROM lineitem WHERE l_orderkey % 10 < 8)"
+        for kind in (TREE, BAYES)
     ),
     **{f"training_report_{k.key}": _report(k, k.training_column) for k in ALL_KINDS},
     **{f"prediction_report_{k.key}": _report(k, k.prediction_column) for k in ALL_KINDS},
@@ -221,7 +276,7 @@ ORACLES: dict[str, str] = {
         f"|| ']' AS features, CAST({_HALF} AS VARCHAR) AS label, "
         f"CAST({_HALF} AS VARCHAR) AS prediction FROM lineitem"
     ),
-    "comparison_report": f"{_CELLS_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
+    "comparison_report": f"{_SPLIT_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
     "report_preview": (
         f"{_CELLS_SCORED}, top AS (SELECT * FROM scored "
         "ORDER BY l_orderkey, l_linenumber, label, features LIMIT 20) "
@@ -229,11 +284,12 @@ ORACLES: dict[str, str] = {
         f"CAST(label AS VARCHAR) AS \"{LABEL_COLUMN}\", {_REPORT_ALL} FROM top"
     ),
     **{f"model_round_trip_{kind.key}": _noisy(kind) for kind in ALL_KINDS},
-    "train_run_summary": f"{_NOISY_SUMMARY} SELECT model, accuracy FROM summary",
-    "train_run_report": f"{_CELLS_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
+    "train_run_summary": f"{_SPLIT_SUMMARY} SELECT model, accuracy FROM summary",
+    "train_run_report": f"{_SPLIT_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
+    **{f"training_run_{k.key}": _split_report(k, k.training_column) for k in ALL_KINDS},
+    **{f"prediction_run_{k.key}": _split_report(k, k.prediction_column) for k in ALL_KINDS},
     "single_model_run": (
-        f"WITH {_GRADED} SELECT '{TREE.title}' AS model, "
-        "avg(CAST(label = label AS DOUBLE)) AS accuracy FROM ex"
+        f"{_SPLIT_SUMMARY} SELECT model, accuracy FROM summary WHERE model = '{TREE.title}'"
     ),
-    "saved_model_run": f"{_CELLS_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
+    "saved_model_run": f"{_SPLIT_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
 }

@@ -95,6 +95,15 @@ def reject_table(spark, sf_dir):
     return rejected_lines(read_lines(spark, fixtures.raw_lines(spark, sf_dir)))
 
 
+def odd_rejects(spark, sf_dir):
+    return rejected_lines(fixtures.odd_lines(spark, sf_dir), width=3)
+
+
+def odd_examples(spark, sf_dir):
+    kept = parse_labelled(fixtures.odd_lines(spark, sf_dir), width=3, strict=False)
+    return kept.select(vector_text(F.col("features")).alias("features"), "label")
+
+
 def label_last_field(spark, sf_dir):
     return load_labelled(spark, fixtures.raw_lines(spark, sf_dir)).select("label")
 
@@ -146,9 +155,13 @@ def _pairs(kind: ModelKind, spark, sf_dir):
     return prediction_pairs(examples, fit(examples, kind))
 
 
+def _split_scored(spark, sf_dir):
+    training, validation = fixtures.split_examples(spark, sf_dir)
+    return score_all(validation, fit_all(training))
+
+
 def models_side_by_side(spark, sf_dir):
-    examples = fixtures.cells(spark, sf_dir)
-    scored = score_all(examples, fit_all(examples))
+    scored = _split_scored(spark, sf_dir)
     return scored.select(*fixtures.KEYS, "label", *[k.score_column for k in ALL_KINDS])
 
 
@@ -193,7 +206,7 @@ def _summary(fixture: Fixture, spark, sf_dir):
 
 
 def summary_lines(spark, sf_dir):
-    return accuracy_lines(_summary(fixtures.cells, spark, sf_dir))
+    return accuracy_lines(accuracy_summary(_split_scored(spark, sf_dir)), "validation")
 
 
 # Reports, saved models and whole runs.
@@ -210,7 +223,7 @@ def three_plain_columns(spark, sf_dir):
 
 
 def four_model_report(spark, sf_dir):
-    return comparison_report(_four_scored(fixtures.cells, spark, sf_dir))
+    return comparison_report(_split_scored(spark, sf_dir))
 
 
 def report_preview(spark, sf_dir):
@@ -228,27 +241,46 @@ def _round_trip(kind: ModelKind, spark, sf_dir):
 
 
 def train_run_summary(spark, sf_dir):
-    path = fixtures.cell_lines(spark, sf_dir)
     report = new_shared_path(spark, "report")
-    return train_and_validate(spark, path, path, report_path=report).summary
+    return train_and_validate(
+        spark, *fixtures.split_lines(spark, sf_dir), report_path=report
+    ).summary
 
 
 def train_run_report(spark, sf_dir):
-    path = fixtures.cell_lines(spark, sf_dir)
-    return train_and_validate(spark, path, path).report
+    return train_and_validate(spark, *fixtures.split_lines(spark, sf_dir)).report
+
+
+def _training_run(kind: ModelKind, spark, sf_dir):
+    training, validation = fixtures.split_lines(spark, sf_dir)
+    header = fixtures.SPLIT_HEADER
+    return train_and_validate(spark, training, validation, kinds=[kind], header=header).report
+
+
+def _prediction_run(kind: ModelKind, spark, sf_dir):
+    training, validation = fixtures.split_lines(spark, sf_dir)
+    directory = new_shared_path(spark, "models")
+    train_and_validate(spark, training, training, kinds=[kind], model_directory=directory)
+    return score_saved(spark, validation, directory, kinds=[kind]).report
 
 
 def single_model_run(spark, sf_dir):
-    path = fixtures.graded_lines(spark, sf_dir)
-    return train_and_validate(spark, path, path, kinds=[TREE]).summary
+    return train_and_validate(spark, *fixtures.split_lines(spark, sf_dir), kinds=[TREE]).summary
 
 
 def saved_model_run(spark, sf_dir):
-    path = fixtures.cell_lines(spark, sf_dir)
+    training, validation = fixtures.split_lines(spark, sf_dir)
     directory = new_shared_path(spark, "models")
-    train_and_validate(spark, path, path, model_directory=directory)
+    train_and_validate(spark, training, training, model_directory=directory)
     report = new_shared_path(spark, "report")
-    return score_saved(spark, path, directory, report_path=report).report
+    return score_saved(spark, validation, directory, report_path=report).report
+
+
+def empty_validation_lines(spark, sf_dir):
+    training, _ = fixtures.split_lines(spark, sf_dir)
+    run = train_and_validate(spark, training, fixtures.header_only(spark), kinds=[TREE, BAYES])
+    trained_on = load_labelled(spark, training).count()
+    return accuracy_lines(run.summary).withColumn("trained_on", F.lit(trained_on).cast("bigint"))
 
 
 QUERIES: dict[str, Query] = {
@@ -259,6 +291,8 @@ QUERIES: dict[str, Query] = {
     "parse_numeric": parse_numeric,
     "parse_lenient": parse_lenient,
     "rejected_lines": reject_table,
+    "rejected_odd_lines": odd_rejects,
+    "parse_odd_lines": odd_examples,
     "label_last_field": label_last_field,
     "feature_vector": feature_vector,
     "labelled_examples": labelled_examples,
@@ -294,6 +328,9 @@ QUERIES: dict[str, Query] = {
     **{f"model_round_trip_{kind.key}": partial(_round_trip, kind) for kind in ALL_KINDS},
     "train_run_summary": train_run_summary,
     "train_run_report": train_run_report,
+    **{f"training_run_{kind.key}": partial(_training_run, kind) for kind in ALL_KINDS},
+    **{f"prediction_run_{kind.key}": partial(_prediction_run, kind) for kind in ALL_KINDS},
     "single_model_run": single_model_run,
+    "empty_validation_lines": empty_validation_lines,
     "saved_model_run": saved_model_run,
 }

@@ -8,9 +8,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyframe import ALL_KINDS, BAYES, TREE
 from tallyframe.operators import (
+    accuracy,
     accuracy_lines,
     accuracy_summary,
     comparison_report,
+    error_rate,
     model_report,
     preview,
     wrong_rows,
@@ -111,3 +113,23 @@ def test_write_report(spark, scored, tmp_path):
     with pytest.raises(Exception, match="already exists"):
         write_report(report, path)
     write_report(report, path, overwrite=True)
+
+
+def test_every_model_keeps_its_own_column(spark):
+    # Four models that each predict another constant: no two can be taken for each other.
+    row = (1.0, Vectors.dense(0.5), 0.0, 1.0, 2.0, 3.0)
+    columns = ["label", "features", *[k.score_column for k in ALL_KINDS]]
+    scored = spark.createDataFrame([row, row], columns)
+    report = comparison_report(scored).first()
+    assert [report[k.prediction_column] for k in ALL_KINDS] == ["0.0", "1.0", "2.0", "3.0"]
+    lines = [r.line for r in accuracy_lines(accuracy_summary(scored)).collect()]
+    assert lines == [
+        f"Accuracy = {float(k == ALL_KINDS[1])} ({k.title})" for k in ALL_KINDS
+    ]
+
+
+def test_null_labels_are_refused_by_every_measure(spark):
+    frame = spark.createDataFrame([(1.0, 1.0), (1.0, None), (1.0, 2.0)], "prediction double, label double")
+    for measure in (accuracy, error_rate, correct_rows, wrong_rows):
+        with pytest.raises(Exception, match="null in"):
+            measure(frame).collect()
