@@ -35,7 +35,7 @@ GRAM = 5
 SHARD_WORDS = 200_000
 #: An anchor with more distinct segments is dealt out window by window.
 CROWDED = 4_000
-BITMAP_BITS = 25
+BITMAP_BITS = 24
 PLACE_BITS = 20
 
 _DOC = ["_id", "_k"]
@@ -202,15 +202,15 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     """One bit for each low part of a key: as large for any input."""
     at = F.col("g").bitwiseAND(2**BITMAP_BITS - 1)
     rows = (
-        keys.select(F.floor(at / 32).cast("int").alias("w"), (at % 32).cast("int").alias("b"))
+        keys.select(F.floor(at / 64).cast("int").alias("w"), (at % 64).cast("int").alias("b"))
         .selectExpr("w", "shiftleft(1L, b) AS v")
         .groupBy("w")
         .agg(F.bit_or("v").alias("v"))
         .toPandas()
     )
-    out = np.zeros(2 ** (BITMAP_BITS - 5), np.uint32)
+    out = np.zeros(2 ** (BITMAP_BITS - 6), np.int64)
     out[rows["w"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64)
-    return out
+    return out.view(np.uint64)
 
 
 def _segments(docs: DataFrame, bitmap: np.ndarray, width: int, gram: int) -> DataFrame:
@@ -225,7 +225,7 @@ def _segments(docs: DataFrame, bitmap: np.ndarray, width: int, gram: int) -> Dat
                 words = text.encode().split()
                 g, first, last = anchored(_hashes(words), width, gram)
                 at = g & (2**BITMAP_BITS - 1)
-                some = np.flatnonzero(bits[at >> 5] >> (at & 31).astype(np.uint32) & 1)
+                some = np.flatnonzero(bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
                 g, first, last = g[some], first[some], last[some]
                 segments = [
                     b" ".join(words[a : b + width]) for a, b in zip(first, last, strict=True)
