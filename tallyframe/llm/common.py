@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,7 @@ BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]"
 #: Stands for a missing document id, after all others.
 NO_ID = 2**63 - 1
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +48,23 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK_RUN), "")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand texts to Python a thousand at a time, so that workers stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_out(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it again; cuts its lineage."""
     path = new_shared_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    with small_batches(frame.sparkSession):
+        frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
