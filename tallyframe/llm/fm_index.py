@@ -251,15 +251,13 @@ def _with_text(docs: DataFrame, kinds: DataFrame, width: int) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
+            out = []
             for owner, text, listed in zip(rows["_id"], rows["text"], rows["rows"], strict=True):
                 words = text.encode().split()
-                made = pd.DataFrame.from_records(listed, columns=["g", "key", "d", "first", "last"])
-                made["owner"] = owner
-                made["segment"] = [
-                    b" ".join(words[a : b + width]).decode()
-                    for a, b in zip(made.pop("first"), made.pop("last"), strict=True)
-                ]
-                yield made
+                for x in listed:
+                    segment = b" ".join(words[x["first"] : x["last"] + width]).decode()
+                    out.append((x["g"], x["key"], x["d"], owner, segment))
+            yield pd.DataFrame(out, columns=["g", "key", "d", "owner", "segment"])
 
     wanted = kinds.groupBy(*_DOC).agg(
         F.collect_list(F.struct("g", "key", "d", "first", "last")).alias("rows")
