@@ -140,6 +140,12 @@ def _per_document(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy(*_DOC).agg(listed)
 
 
+def _joined(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pd.DataFrame:
+    """One frame a batch: a frame for each document would cost more than its rows."""
+    columns = zip(*parts, strict=True) if parts else [[np.zeros(0, np.int64)]] * len(names)
+    return pd.DataFrame({n: np.concatenate(x) for n, x in zip(names, columns, strict=True)})
+
+
 def _runs(docs: DataFrame, mixed_rows: DataFrame, width: int, run: int) -> DataFrame:
     """Pass 3 digits: rows (g, b, core, all, lo, hi) of each run of each mixed anchor.
 
@@ -149,6 +155,7 @@ def _runs(docs: DataFrame, mixed_rows: DataFrame, width: int, run: int) -> DataF
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
+            out = []
             for doc, k, text, listed in zip(
                 rows["_id"], rows["_k"], rows["text"], rows["rows"], strict=True
             ):
@@ -165,10 +172,11 @@ def _runs(docs: DataFrame, mixed_rows: DataFrame, width: int, run: int) -> DataF
                 at = p[of]
                 core = hashed.of(at - b * run, at - (b * run + run - 1) + width)
                 everything = hashed.of(at - hi, at - lo + width)
-                yield pd.DataFrame(
-                    {"_id": doc, "_k": k, "g": g[of], "p": at, "b": b, "lo": lo, "hi": hi,
-                     "core": core.astype(np.int64), "everything": everything.astype(np.int64)}
-                )
+                own = [np.full(len(of), x, np.int64) for x in (doc, k)]
+                hashes = [core.astype(np.int64), everything.astype(np.int64)]
+                out.append((*own, g[of], at, b, lo, hi, *hashes))
+            names = ["_id", "_k", "g", "p", "b", "lo", "hi", "core", "everything"]
+            yield _joined(out, names)
 
     shape = (
         "_id long, _k long, g long, p int, b int, lo int, hi int, core long, everything long"
@@ -182,6 +190,7 @@ def _singles(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
+            out = []
             for doc, k, text, listed in zip(
                 part["_id"], part["_k"], part["text"], part["rows"], strict=True
             ):
@@ -194,10 +203,9 @@ def _singles(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
                 far = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times) + lo[of]
                 start = p[of] - far
                 window = hashed.of(start, start + width)
-                yield pd.DataFrame(
-                    {"_id": doc, "_k": k, "g": g[of], "far": far, "start": start,
-                     "window": window.astype(np.int64)}
-                )
+                own = [np.full(len(of), x, np.int64) for x in (doc, k)]
+                out.append((*own, g[of], far, start, window.astype(np.int64)))
+            yield _joined(out, ["_id", "_k", "g", "far", "start", "window"])
 
     shape = "_id long, _k long, g long, far int, start int, window long"
     wanted = _per_document(rows, "g", "p", "lo", "hi")
