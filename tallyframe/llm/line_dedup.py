@@ -23,6 +23,8 @@ MIN_CHARS = 10
 BATCHES = 4
 FANOUT = 2
 HASH = ["_h1", "_h2"]
+#: Positions belong to a text of an id: rows may share an id, and those without one all do.
+TEXT = ["_id", "_k"]
 
 
 def line_key(line: Column) -> Column:
@@ -83,6 +85,11 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` with the id and the text's hash."""
+    return docs.select(*columns, id_of().alias("_id"), F.xxhash64(whole_text()).alias("_k"))
+
+
 def _bounds(docs: DataFrame, batches: int) -> list[int]:
     """Ids that cut the documents into batches of about equal size."""
     cuts = [i / batches for i in range(1, batches)]
@@ -92,10 +99,10 @@ def _bounds(docs: DataFrame, batches: int) -> list[int]:
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """Position and hash of every line whose key is long enough."""
-    lines = docs.select("_id", F.posexplode(F.split(whole_text(), "\n")).alias("_at", "_line"))
-    keyed = lines.select("_id", "_at", line_key(F.col("_line")).alias("_key"))
+    lines = docs.select(*TEXT, F.posexplode(F.split(whole_text(), "\n")).alias("_at", "_line"))
+    keyed = lines.select(*TEXT, "_at", line_key(F.col("_line")).alias("_key"))
     return keyed.filter(F.length("_key") >= min_chars).select(
-        "_id",
+        *TEXT,
         "_at",
         F.xxhash64("_key").alias("_h1"),
         F.xxhash64(F.lit("second"), "_key").alias("_h2"),
@@ -122,9 +129,9 @@ def dropped_lines(
     batches: int = BATCHES,
     fanout: int = FANOUT,
 ) -> DataFrame:
-    """(_id, _dropped): the sorted positions of the lines that go, where any do."""
+    """(_id, _k, _dropped): the sorted positions of the lines that go, where any do."""
     spark = docs.sparkSession
-    docs = docs.select(id_of().alias("_id"), "text")
+    docs = _keyed(docs, "text")
     runs, parts = LineRuns(spark, fanout), []
     low = None
     for high in [*_bounds(docs, batches), None]:
@@ -136,7 +143,8 @@ def dropped_lines(
         lines = _lines(batch, min_chars)
         fresh = runs.add(lines.groupBy(*HASH).agg(F.min("_id").alias("_id")))
         gone = lines.join(fresh, ["_id", *HASH], "left_anti")
-        positions = gone.groupBy("_id").agg(F.sort_array(F.collect_list("_at")).alias("_dropped"))
+        # A text that comes twice under its id has each position twice.
+        positions = gone.groupBy(*TEXT).agg(F.sort_array(F.collect_set("_at")).alias("_dropped"))
         parts.append(write_out(positions, "dropped-lines"))
         low = high
     runs.drop()
@@ -152,14 +160,15 @@ def dedup_lines(docs: DataFrame, **options: int) -> DataFrame:
     Of a line key found in two documents, only the lines of the smallest
     ``doc_id`` stay; short lines always do. A null text counts as one empty
     line. Rows without an id count as one document after all others, and rows
-    of one id as one document. Columns of the new names are replaced.
+    of one id as one document: they keep what they share, and each loses the
+    lines of smaller ids from its own text. Columns of the new names are replaced.
     """
     own = ["n_lines", "n_dropped", "kept_text"]
     asked = [c for c in docs.columns if c not in own]
     # Which lines go may be much or little; texts are always dealt by id, at any size.
     dropped = dropped_lines(docs, **options)
-    here = docs.select(*asked, id_of().alias("_id"))
-    joined = here.join(dropped.hint("merge"), "_id", "left").withColumn("_lines", F.split(whole_text(), "\n"))
+    here = _keyed(docs, *asked)
+    joined = here.join(dropped.hint("merge"), TEXT, "left").withColumn("_lines", F.split(whole_text(), "\n"))
     none = F.col("_dropped").isNull()
     kept = F.array_join(_without(F.col("_lines"), F.col("_dropped")), "\n")
     return joined.select(

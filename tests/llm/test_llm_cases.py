@@ -134,6 +134,37 @@ def test_line_runs_do_not_depend_on_the_batches(spark, batches, fanout):
     assert got == brute.line_dedup(rows)
 
 
+def test_lines_go_from_their_own_text_only(spark):
+    a, b, c = "the first long line", "the second long line", "the third long line"
+    own = [f"a line of its own, number {k}" for k in range(9)]
+    rows = [
+        (1, f"{a}\n{b}\n{c}"),
+        # One document twice, and two texts of one id.
+        (2, f"{own[0]}\n{a}\n{own[1]}\n{b}"),
+        (2, f"{own[0]}\n{a}\n{own[1]}\n{b}"),
+        (3, f"{a}\n{own[2]}"),
+        (3, f"{own[3]}\n{own[4]}"),
+        (None, f"{b}\n{own[5]}"),
+        (None, f"{own[6]}\n{c}\nshort"),
+        (None, f"{own[7]}\n{own[8]}"),
+        (None, f"{b}\n{own[5]}"),
+    ]
+    found = line_dedup.dedup_lines(documents(spark, rows).repartition(3)).collect()
+    wanted = [
+        (1, 3, 0, rows[0][1]),
+        (2, 4, 2, f"{own[0]}\n{own[1]}"),
+        (2, 4, 2, f"{own[0]}\n{own[1]}"),
+        (3, 2, 1, own[2]),
+        (3, 2, 0, rows[4][1]),
+        (None, 2, 1, own[5]),
+        (None, 2, 1, own[5]),
+        (None, 2, 0, rows[7][1]),
+        (None, 3, 1, f"{own[6]}\nshort"),
+    ]
+    got = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in found]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
 def test_large_groups_of_near_copies(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "BLOCK_ROWS", 16)
     rng = random.Random(5)
