@@ -1,6 +1,7 @@
 """Near-duplicate join on word shingles by chosen paths.
 
-Texts with equal shingle sets form a class, and one text stands for it. Its set
+Texts with equal shingle sets form a class, and one text stands for it. Classes
+are numbered, since rows may share an id and those without one all do. The set
 is embedded as ``COORDINATES`` MinHash values. In each run, every node of a tree
 chooses ``CHILDREN`` coordinates by a hash of its path, and a set moves to the
 child that its value at the coordinate names. Buckets are split until they are
@@ -51,6 +52,8 @@ SCREEN = 33
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _GOLD) | np.uint64(1)
 KEY = ["leaf", "i", "j"]
+DOC = ["_id", "_text"]
+SAME = ["n", "s0", "s1"]
 
 
 # ---- sketches ------------------------------------------------------------------------
@@ -71,8 +74,13 @@ def _signature(hashes: np.ndarray) -> tuple[int, int]:
     return one - 2**63, two - 2**63
 
 
+def _keyed(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``columns`` with the id and the text's hash."""
+    return docs.select(*columns, id_of().alias("_id"), F.xxhash64(whole_text()).alias("_text"))
+
+
 def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(_id, n, s0, s1, sketch) of every row: size, signature and embedding of its set."""
+    """(_id, _text, n, s0, s1, sketch) of every row: size, signature and embedding of its set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -82,10 +90,11 @@ def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
                 out.append((len(hashes), *_signature(hashes), sketch(hashes)))
             made = pd.DataFrame(out, columns=["n", "s0", "s1", "sketch"])
             made.insert(0, "_id", rows["_id"])
+            made.insert(1, "_text", rows["_text"])
             yield made
 
-    rows = docs.select(id_of().alias("_id"), whole_text().alias("text"))
-    shape = "_id long, n long, s0 long, s1 long, sketch array<int>"
+    rows = _keyed(docs, whole_text().alias("text"))
+    shape = "_id long, _text long, n long, s0 long, s1 long, sketch array<int>"
     return write_out(rows.mapInPandas(run, shape), "sketches")
 
 
@@ -172,7 +181,7 @@ def cells(reps: DataFrame, found: DataFrame) -> DataFrame:
     b, o = F.col("block"), F.col("other")
     return (
         dealt.join(own, "rep")
-        .join(reps.select("rep", "sketch").dropDuplicates(["rep"]), "rep")
+        .join(reps.select("rep", "sketch"), "rep")
         .select(
             "leaf",
             F.least(b, o).alias("i"),
@@ -318,10 +327,13 @@ def _verified(rows: pd.DataFrame, threshold: float, width: int) -> pd.DataFrame
     return pd.DataFrame({"rep": reps[some], "links": links[some], "root": reps[root[some]]})
 
 
-def links(docs: DataFrame, likely: DataFrame, threshold: float, width: int) -> DataFrame:
+def links(
+    docs: DataFrame, classes: DataFrame, likely: DataFrame, threshold: float, width: int
+) -> DataFrame:
     """(rep, links, root) by exact similarity of the whole texts of likely rows."""
-    texts = docs.select(id_of().alias("rep"), whole_text().alias("text"))
-    rows = likely.join(texts, "rep")
+    # One text of an id however often it comes, reduced before it is shuffled.
+    texts = _keyed(docs, whole_text().alias("text")).dropDuplicates(DOC)
+    rows = likely.join(classes.select("rep", *DOC), "rep").join(texts, DOC).drop(*DOC)
     rows = rows.repartition(*KEY).sortWithinPartitions(*KEY)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -336,50 +348,69 @@ def links(docs: DataFrame, likely: DataFrame, threshold: float, width: int) -> D
     return write_out(rows.mapInPandas(run, "rep long, links long, root long"), "links")
 
 
+def _classes(
+    docs: DataFrame, threshold: float, recall: float, width: int
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and their classes.
+
+    A class has its first id and text (_id, _text), and those of the class it is
+    connected to that has the first of all (top).
+    """
+    rows = sketches(docs, width)
+    classes = rows.groupBy(*SAME).agg(
+        F.min(F.struct(*DOC, "sketch")).alias("first"), F.count("*").alias("n_copies")
+    )
+    number = F.monotonically_increasing_id().alias("rep")
+    classes = write_out(classes.select(*SAME, "n_copies", "first.*", number), "classes")
+    reps = classes.select("rep", "n", "sketch")
+    likely = screen(cells(reps, leaves(reps, recall, threshold)))
+    linked = links(docs, classes, likely, threshold, width)
+    roots = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    counts = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
+    tops = (
+        roots.withColumnRenamed("node", "rep")
+        .join(classes.select("rep", *DOC), "rep")
+        .groupBy("root")
+        .agg(F.min(F.struct(*DOC)).alias("top"))
+    )
+    tops = roots.join(write_out(tops, "tops"), "root").select(F.col("node").alias("rep"), "top")
+    known = classes.drop("sketch").join(counts, "rep", "left").join(tops, "rep", "left")
+    return rows, known.withColumn("top", F.coalesce("top", F.struct(*DOC)))
+
+
 def join(
     docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, width: int = SHINGLE
 ) -> DataFrame:
     """doc_id, class_id, copy_of, n_copies, n_links: one row a row of ``docs``.
 
     ``copy_of`` is the least id of the texts with the same shingles, ``n_copies``
-    their number, ``n_links`` the number of other such texts at similarity
+    their number, ``n_links`` the number of other shingle sets at similarity
     ``threshold`` or more, and ``class_id`` the least id that is reached over links.
     Texts without words are copies of each other and have no links; texts shorter
     than a shingle are one shingle. Null counts as empty, a missing id as the
-    largest; rows of one id are one document, linked where any of its texts is.
+    largest; rows that share an id, or have none, are linked each by its own text.
     """
-    docs = docs.select("doc_id", "text")
-    rows = sketches(docs, width)
-    same = ["n", "s0", "s1"]
-    classes = rows.groupBy(*same).agg(
-        F.min(F.struct("_id", "sketch")).alias("first"), F.count("*").alias("n_copies")
-    )
-    classes = write_out(
-        classes.select(*same, "n_copies", F.col("first._id").alias("rep"), "first.sketch"), "classes"
-    )
-    reps = classes.select("rep", "n", "sketch")
-    likely = screen(cells(reps, leaves(reps, recall, threshold)))
-    linked = links(docs, likely, threshold, width)
-    roots = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    counts = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
-    known = (
-        classes.drop("sketch")
-        .join(counts, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    )
-    return rows.select("_id", *same).join(known, same).select(
+    rows, known = _classes(docs.select("doc_id", "text"), threshold, recall, width)
+    classes = known.select(*SAME, F.col("_id").alias("copy"), "top", "n_copies", "n_links")
+    return rows.select("_id", *SAME).join(classes, SAME).select(
         id_back(F.col("_id")).alias("doc_id"),
-        id_back(F.coalesce("root", "rep")).alias("class_id"),
-        id_back(F.col("rep")).alias("copy_of"),
+        id_back(F.col("top._id")).alias("class_id"),
+        id_back(F.col("copy")).alias("copy_of"),
         "n_copies",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
-def one_of_each(docs: DataFrame, **options: float) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its class; all columns stay."""
-    found = join(docs, **options)
-    key: Column = id_of()
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key.alias("_kept"))
-    rows = docs.withColumn("_key", key)
-    return rows.join(kept.distinct(), F.col("_key") == F.col("_kept"), "left_semi").drop("_key")
+def one_of_each(
+    docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, width: int = SHINGLE
+) -> DataFrame:
+    """One row of ``docs`` of each class, of the least id; all columns stay.
+
+    Rows without an id are told apart by their texts. Of rows of one id and text
+    any one stays.
+    """
+    _, known = _classes(docs.select("doc_id", "text"), threshold, recall, width)
+    kept = known.filter(F.col("top") == F.struct(*DOC)).select(*DOC)
+    # Copies go before the rows are shuffled, so that an empty text without an id is no hot key.
+    rows = _keyed(docs, *docs.columns).dropDuplicates(DOC)
+    return rows.join(kept.hint("merge"), DOC, "left_semi").drop(*DOC)

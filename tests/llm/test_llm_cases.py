@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +182,39 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     assert got == brute.near(rows)
 
 
+def test_near_copies_among_rows_without_an_id(spark):
+    rng = random.Random(7)
+
+    def text(name):
+        return [f"{name}{rng.randint(0, 10**6)}" for _ in range(80)]
+
+    def near(words):
+        return " ".join([*words[:-1], "other"])
+
+    a, b, c = text("a"), text("b"), text("c")
+    rows = [(1, " ".join(a)), (None, near(a)), (None, " ".join(b)), (None, near(b)), (None, " ".join(b))]
+    rows += [(None, " ".join(text("d"))) for _ in range(20)]
+    # An id with two texts, of which one is linked.
+    rows += [(2, " ".join(text("e"))), (2, " ".join(c)), (3, near(c))]
+    docs = documents(spark, rows).repartition(3)
+    found = Counter(tuple(r) for r in chosen_path.join(docs).collect())
+    assert found == {
+        (1, 1, 1, 1, 1): 1,
+        (None, 1, None, 1, 1): 1,
+        (None, None, None, 2, 1): 2,
+        (None, None, None, 1, 1): 1,
+        (None, None, None, 1, 0): 20,
+        (2, 2, 2, 1, 0): 1,
+        (2, 2, 2, 1, 1): 1,
+        (3, 2, 3, 1, 1): 1,
+    }
+    kept = [(r["doc_id"], r["text"]) for r in chosen_path.one_of_each(docs).collect()]
+    one = [x for x in kept if x[1] in (" ".join(b), near(b))]
+    assert len(one) == 1
+    wanted = [rows[0], *rows[5:25], *rows[25:27]]
+    assert sorted((x for x in kept if x not in one), key=str) == sorted(wanted, key=str)
+
+
 def test_base_spans_of_odd_texts(spark):
     rng = random.Random(6)
     texts = ["a@b.c_d@e.f", "1.2.3.4.5.6.7.8", "x@y.z😀 +1 (743) 555-3824. 😀4994226020900891"]
