@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import BLANK_RUN, NO_ID, id_back, id_of, whole_text, words_of, write_out
+from tallyframe.llm.common import NO_ID, id_back, id_of, whole_text, write_out
 
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 #: A search may start where the last one ended or where a run starts. Starts inside a run
@@ -33,26 +33,43 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 BLANK = r"\x20\x09-\x0D"
 #: Words with a digit, found by their first character.
 DIGIT_WORD = rf"(?<![^{BLANK}])[^{BLANK}0-9]*+[0-9][^{BLANK}]*+"
-PUNCTUATION = ".,;:!?\"'()[]{}<>"
+#: Words of patterns end at blanks and at these, in contexts and in counts alike.
+PUNCTUATION = r"""[.,;:!?"'()\[\]{}<>=#|*/\\&~`"""
+BETWEEN = rf"{PUNCTUATION}{BLANK}]"
+NUMBERLESS = rf"[^0-9{PUNCTUATION[1:]}]"
+#: Labels glued to the front of a word with digits.
+LABELS = rf"^(?:{NUMBERLESS}*+{PUNCTUATION}]++)*+"
 
 ROUNDS = 3
 MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.5
 MIN_SCORE = 0.8
-#: Code points in which the neighbouring word is looked for.
+#: Code points in which the neighbouring word is looked for before all that lies between is.
 REACH = 64
 BLOCK = 512
 CONTEXT = "context"
 
-SPAN = "struct<start:int,end:int,value:string,left:string,right:string>"
 PLACE = "struct<start:int,end:int>"
 
 
+def _words(part: Column) -> Column:
+    return F.array_remove(F.split(part, f"{BETWEEN}+"), "")
+
+
 def _word(part: Column, last: bool) -> Column:
-    """The nearest word of a neighbouring stretch of text, without case and punctuation."""
-    words = F.array_remove(F.split(part, BLANK_RUN), "")
-    return F.coalesce(F.lower(F.btrim(F.get(words, F.size(words) - 1 if last else F.lit(0)),
-                                      F.lit(PUNCTUATION))), F.lit(""))
+    """The nearest whole word of a neighbouring stretch of text, without case."""
+    near = F.right(part, F.lit(REACH)) if last else F.left(part, F.lit(REACH))
+    at = F.lit(-1 if last else 1)
+    # The only word within reach may go on beyond it.
+    whole = (F.length(part) <= REACH) | (F.size(_words(near)) > 1)
+    word = F.when(whole, F.try_element_at(_words(near), at)).otherwise(F.try_element_at(_words(part), at))
+    return F.coalesce(F.lower(word), F.lit(""))
+
+
+def _glued(part: Column, last: bool) -> Column:
+    """Whether nothing parts the neighbouring word from the span, so that the span cuts it off."""
+    beside = F.right(part, F.lit(1)) if last else F.left(part, F.lit(1))
+    return beside.rlike(BETWEEN.replace("[", "[^", 1))
 
 
 def _running(steps: Column, out_type: str) -> Column:
@@ -68,12 +85,23 @@ def _running(steps: Column, out_type: str) -> Column:
     return F.aggregate(steps, first, add, lambda state: state["out"])
 
 
-def with_matches(docs: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame:
+def with_matches(
+    docs: DataFrame, name: str, pattern: str, guard: Column, parted: bool = False
+) -> DataFrame:
     """Add ``name``: start, end, value and neighbouring words of all matches in ``text``.
 
     What lies between matches is split off, and positions are running sums of
     lengths, in blocks, so that no array is built up over all matches.
+    ``parted`` says that matches are no part of words wherever they are counted.
     """
+
+    def cut(gap: Column, last: bool, bounded: Column) -> Column:
+        """Whether the word is a piece that a match has cut off, this one or the next."""
+        if parted:
+            return F.lit(False)
+        across = bounded & _glued(gap, not last) & (F.size(_words(gap)) == 1)
+        return _glued(gap, last) | across
+
     text, found, gaps = whole_text(), F.col("_found"), F.col("_gaps")
     none = F.array().cast("array<string>")
     all_of = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -118,8 +146,10 @@ def with_matches(docs: DataFrame, name: str, pattern: str, guard: Column) -> Dat
             p["start"].alias("start"),
             p["end"].alias("end"),
             F.get(found, i).alias("value"),
-            _word(F.right(F.get(gaps, i), F.lit(REACH)), last=True).alias("left"),
-            _word(F.left(F.get(gaps, i + 1), F.lit(REACH)), last=False).alias("right"),
+            _word(F.get(gaps, i), last=True).alias("left"),
+            _word(F.get(gaps, i + 1), last=False).alias("right"),
+            cut(F.get(gaps, i), True, i > 0).alias("left_cut"),
+            cut(F.get(gaps, i + 1), False, i + 1 < F.size(found)).alias("right_cut"),
         ),
     )
     here = here.withColumn(name, spans)
@@ -163,7 +193,7 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
         "phone": text.contains("+"),
     }
     for kind, pattern in KINDS.items():
-        docs = with_matches(docs, "_all", pattern, guards[kind])
+        docs = with_matches(docs, "_all", pattern, guards[kind], parted=kind == "email")
         kept = F.filter("_all", _validity(kind))
         docs = docs.withColumn(f"_{kind}", kept).drop("_all")
     return docs
@@ -198,15 +228,24 @@ def find_base(docs: DataFrame) -> DataFrame:
 def _identifiers(found: DataFrame) -> DataFrame:
     """Words with digits that look like identifiers and touch no base span, one a row."""
     word = found.select("_row", F.explode("words").alias("w")).select("_row", "w.*")
-    core = F.regexp_extract("value", "[A-Za-z0-9+](?s:.*[A-Za-z0-9])?", 0)
-    lead = F.length(F.regexp_extract("value", "^[^A-Za-z0-9+]*+", 0))
+    labels = F.length(F.regexp_extract("value", LABELS, 0))
+    # Without the labels before it, and with no more than its own piece after the last digit.
+    rest = F.regexp_extract(F.substring("value", labels + 1, F.length("value")),
+                            f"^(?s:.*)[0-9]{NUMBERLESS}*+", 0)
+    lead = labels + F.length(F.regexp_extract(rest, "^[^A-Za-z0-9+]*+", 0))
+    core = F.regexp_extract(rest, "[A-Za-z0-9+](?s:.*[A-Za-z0-9])?", 0)
+    before = F.substring("value", F.lit(1), lead)
+    after = F.substring("value", lead + F.length(core) + 1, F.length("value"))
+    near, next_ = _word(before, last=True), _word(after, last=False)
     word = word.select(
         "_row",
         (F.col("start") + lead).alias("start"),
         (F.col("start") + lead + F.length(core)).alias("end"),
         core.alias("value"),
-        "left",
-        "right",
+        F.when(near != "", near).otherwise(F.col("left")).alias("left"),
+        F.when(next_ != "", next_).otherwise(F.col("right")).alias("right"),
+        _glued(before, last=True).alias("left_cut"),
+        _glued(after, last=False).alias("right_cut"),
     )
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
     word = word.filter((F.length("value") >= 6) & (digits >= 4))
@@ -229,21 +268,36 @@ def _identifiers(found: DataFrame) -> DataFrame:
     return word.join(touching.select("_row", "start").distinct(), ["_row", "start"], "left_anti")
 
 
-def _edges(spans: DataFrame) -> DataFrame:
+def _contexts(spans: DataFrame) -> DataFrame:
+    """(value, side, word, cut) of both sides of each span that have a word.
+
+    Spans that start, or end, at one place have one context there.
+    """
+
+    def side(name: str, word: str, at: str) -> DataFrame:
+        here = spans.filter(F.col(word) != "").groupBy("_row", at)
+        first = here.agg(F.min(F.struct("value", word, f"{word}_cut")).alias("x")).select("x.*")
+        return first.select("value", F.lit(name).alias("side"), F.col(word).alias("word"),
+                            F.col(f"{word}_cut").alias("cut"))
+
+    return side("before", "left", "start").union(side("after", "right", "end"))
+
+
+def _edges(contexts: DataFrame) -> DataFrame:
     """(value, pattern, n): how often each value stands beside each pattern's word."""
-    sides = F.array(
-        F.struct(F.lit("before").alias("side"), F.col("left").alias("word")),
-        F.struct(F.lit("after").alias("side"), F.col("right").alias("word")),
-    )
-    beside = spans.select("value", F.explode(sides).alias("p")).select("value", "p.*")
-    beside = beside.filter(F.col("word") != "")
-    return beside.groupBy("value", "side", "word").agg(F.count("*").alias("n"))
+    return contexts.groupBy("value", "side", "word").agg(F.count("*").alias("n"))
+
 
+def word_counts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(word, total) over all words of the corpus, in the form that patterns use.
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, total) over all words of the corpus, in the form that patterns use."""
-    word = F.lower(F.btrim(F.col("w"), F.lit(PUNCTUATION)))
-    words = docs.select(F.explode(words_of(whole_text())).alias("w")).select(word.alias("word"))
+    E-mail addresses are no words, and part those beside them. What other spans cut
+    off a word they are glued to counts as a word of its own.
+    """
+    text = whole_text()
+    apart = F.when(text.contains("@"), F.regexp_replace(text, KINDS["email"], " ")).otherwise(text)
+    words = docs.select(F.explode(_words(apart)).alias("w")).select(F.lower("w").alias("word"))
+    words = words.union(contexts.filter("cut").select("word"))
     return words.groupBy("word").agg(F.count("*").alias("total"))
 
 
@@ -256,11 +310,13 @@ def bootstrap(
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """(value, score) of unseen values that stand in confident patterns."""
-    known = _edges(seeds).withColumn("seed", F.lit(True))
-    edges = known.union(_edges(unseen).withColumn("seed", F.lit(False)))
+    beside_seeds = write_out(_contexts(seeds), "seed-contexts")
+    beside_unseen = write_out(_contexts(unseen), "unseen-contexts")
+    known = _edges(beside_seeds).withColumn("seed", F.lit(True))
+    edges = known.union(_edges(beside_unseen).withColumn("seed", F.lit(False)))
     # Words beside no seed or candidate are never asked for; the others keep their corpus count.
     asked = edges.select("word").distinct()
-    totals = word_counts(docs).join(asked, "word", "left_semi")
+    totals = word_counts(docs, beside_seeds.union(beside_unseen)).join(asked, "word", "left_semi")
     edges = write_out(edges.join(totals, "word"), "pattern-graph")
     scores = edges.filter("seed").select("value", F.lit(1.0).alias("score")).distinct()
     pattern = ["side", "word"]

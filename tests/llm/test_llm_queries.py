@@ -130,6 +130,22 @@ def test_contexts_lead_to_unseen_identifiers(spark):
     assert all(found[k]["spans"] == "" for k in range(34, 64))
 
 
+def test_contexts_of_glued_labels(spark):
+    texts = [f"write mail:u{k}@example.org today" for k in range(30)]
+    # The label stays, in front and behind; a neighbouring word is looked for over its whole length.
+    far, long = "nine" * 30, " " * 100
+    texts += ["write mail:member-10007 today", "write <b>mail:member-10008</b> today"]
+    texts += [f"{far}{long}u{k}@example.com" for k in range(5)] + [f"{far} member-10009"]
+    # Few of these words stand beside personal data, though most that stand alone do.
+    texts += [f"call tel=u{k}@example.net now" for k in range(4)] + ["tel 555123"]
+    texts += [f"tel:{w}" for w in "abcdefghijklmnop"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs, min_score=0.6).collect()}
+    assert found[30] == "context:11:23" and found[31] == "context:14:26"
+    assert found[37] == "context:121:133"
+    assert all(found[k] == "" for k in range(42, len(texts)))
+
+
 def test_packed_texts_are_put_together_in_order(spark):
     texts = ["a b c", "d e", "f", "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
