@@ -112,6 +112,49 @@ def split_lines(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     )
 
 
+def imperfect_lines(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The two sets of ``split_lines`` with lines that are no examples in both, by line number."""
+    label, features = _split_columns()
+    line, number = _line([*features, label]), F.col("l_linenumber")
+    value = (
+        F.when(number == 5, F.concat(F.lit("x;"), line))
+        .when(number == 6, F.regexp_replace(line, "^[^;]*;", ""))
+        .when(number == 7, F.regexp_replace(line, "^[^;]*;", "ten;"))
+        .otherwise(line)
+    )
+    items = lineitem(spark, sf_dir)
+    return tuple(
+        _write_lines(spark, items.filter(part).select(value.alias("value")), SPLIT_HEADER, name)
+        for name, part in (("odd-training", _is_training()), ("odd-validation", ~_is_training()))
+    )
+
+
+def eleven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven whole features of few values and six classes, on which no two kinds of model agree.
+
+    The label is mostly a rule that no plane and no tree of five levels can follow,
+    with a sixth of the rows labelled otherwise.
+    """
+    order, part, supp, line = (
+        F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    )
+    quantity = F.floor((F.col("l_quantity") - 1) / 10)
+    discount, tax = F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100)
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    status = F.when(F.col("l_linestatus") == "F", 0).otherwise(1)
+    month = F.month("l_shipdate") - 1
+    features = [quantity, discount, tax, line - 1, flag, status, month, order % 4, part % 5, supp % 3]
+    features.append((order + part) % 3)
+    rule = (
+        F.when((quantity >= 3) & (discount >= 5), 3 + F.col("l_partkey") % 5 % 2)
+        .when(quantity >= 3, F.when(tax >= 4, 5).otherwise(6))
+        .when(month % 3 == flag, 7)
+        .otherwise(F.when(discount + tax >= 9, 8).otherwise(5))
+    )
+    label = F.when((order + 2 * part + 3 * supp + line) % 6 == 0, 3 + (order + line) % 6).otherwise(rule)
+    return _examples(lineitem(spark, sf_dir), label, features)
+
+
 def header_only(spark: SparkSession) -> str:
     """A source that has a header and no rows."""
     return _write_lines(spark, spark.createDataFrame([], "value string"), SPLIT_HEADER, "empty")

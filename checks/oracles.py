@@ -102,15 +102,13 @@ scored AS (
 # Training and validation rows apart: ``ex`` is learnt from, ``val`` is asked for.
 _SPLIT_WIDTH = len(CELLS)
 _TENFOLD = _CELL_FEATURES.replace("THEN 1", "THEN 10")
-_SPLIT_SCORED = f"""WITH item AS (
+_SPLIT_ITEM = f"""item AS (
   SELECT id, l_orderkey, l_linenumber, cell, {_TENFOLD}, l_orderkey % 10 < 8 AS learnt,
     CAST(CASE WHEN l_quantity <= CASE WHEN l_orderkey % 10 < 8 THEN 10 ELSE 25 END THEN 3 + cell
       WHEN l_quantity <= 40 THEN CASE WHEN cell < 3 THEN 3 ELSE 8 END
       ELSE 3 + (l_linenumber - 1) % 6 END AS DOUBLE) AS label
-  FROM (SELECT row_number() OVER () AS id, *, {_CELL_NUMBER} AS cell FROM lineitem)),
-ex AS (SELECT * FROM item WHERE learnt),
-val AS (SELECT * FROM item WHERE NOT learnt),
-{_bayes(_SPLIT_WIDTH, "val")},
+  FROM (SELECT row_number() OVER () AS id, *, {_CELL_NUMBER} AS cell FROM lineitem))"""
+_SPLIT_MODELS = f"""{_bayes(_SPLIT_WIDTH, "val")},
 best AS (
   SELECT cell, label AS best FROM (
     SELECT cell, label, row_number() OVER (
@@ -122,6 +120,29 @@ scored AS (
       || ']' AS features
   FROM val JOIN nb ON val.id = nb.id JOIN best ON val.cell = best.cell)"""
 
+
+def _split(among: str) -> str:
+    """``scored``: the validation rows of ``item`` that are ``among``, by models of the training rows."""
+    return (
+        f"WITH {_SPLIT_ITEM}, ex AS (SELECT * FROM item WHERE learnt AND {among}), "
+        f"val AS (SELECT * FROM item WHERE NOT learnt AND {among}), {_SPLIT_MODELS}"
+    )
+
+
+_SPLIT_SCORED = _split("TRUE")
+# Lines with these numbers are no examples where they are broken.
+_IMPERFECT = "l_linenumber IN (5, 6, 7)"
+_SPLIT_LINE = (
+    "concat_ws(';', "
+    + ", ".join(f"CAST(f{i} AS VARCHAR)" for i in range(_SPLIT_WIDTH))
+    + ", CAST(label AS VARCHAR))"
+)
+_BROKEN = f"""SELECT CASE WHEN learnt THEN 'training' ELSE 'validation' END AS source,
+  CASE l_linenumber WHEN 5 THEN 'x;' || {_SPLIT_LINE}
+    WHEN 6 THEN substr({_SPLIT_LINE}, instr({_SPLIT_LINE}, ';') + 1)
+    ELSE 'ten;' || substr({_SPLIT_LINE}, instr({_SPLIT_LINE}, ';') + 1) END AS value
+FROM item WHERE {_IMPERFECT}"""
+
 _REPORT_START = (
     f'features AS "{FEATURES_COLUMN}", CAST(label AS VARCHAR) AS "{LABEL_COLUMN}"'
 )
@@ -167,6 +188,80 @@ def _report(kind, column: str) -> str:
     )
 
 
+# Eleven features. A gini tree of five levels is grown level by level: all ways to part
+# a node's rows by one feature are scored, and the best one that gains is taken.
+_RULE = """CASE WHEN quantity >= 3 AND f1 >= 5 THEN 3 + l_partkey % 5 % 2
+    WHEN quantity >= 3 THEN CASE WHEN f2 >= 4 THEN 5 ELSE 6 END
+    WHEN f6 % 3 = f4 THEN 7 WHEN f1 + f2 >= 9 THEN 8 ELSE 5 END"""
+_ELEVEN = f"""item AS (
+  SELECT row_number() OVER () AS id, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    floor((l_quantity - 1) / 10) AS quantity, floor((l_quantity - 1) / 10) AS f0,
+    round(l_discount * 100) AS f1, round(l_tax * 100) AS f2, l_linenumber - 1 AS f3,
+    CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS f4,
+    CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END AS f5, month(l_shipdate) - 1 AS f6,
+    l_orderkey % 4 AS f7, l_partkey % 5 AS f8, l_suppkey % 3 AS f9, (l_orderkey + l_partkey) % 3 AS f10
+  FROM lineitem),
+ex AS (
+  SELECT *, CAST(CASE WHEN (l_orderkey + 2 * l_partkey + 3 * l_suppkey + l_linenumber) % 6 = 0
+    THEN 3 + (l_orderkey + l_linenumber) % 6 ELSE {_RULE} END AS DOUBLE) AS label
+  FROM item)"""
+
+
+def _grown(width: int, levels: int) -> str:
+    """Tables from ``ex`` to ``tree`` (id, tree): the prediction of a gini tree for each row."""
+    values = ", ".join(f"CAST(f{j} AS DOUBLE)" for j in range(width))
+    parts = [
+        f"long AS (SELECT id, label, unnest(range({width})) AS j, unnest([{values}]) AS v FROM ex)",
+        "at0 AS (SELECT id, label, CAST(1 AS BIGINT) AS node FROM ex)",
+    ]
+    for k in range(levels):
+        parts.append(f"""
+held{k} AS (
+  SELECT node, j, v, label, count(*) AS n FROM at{k} JOIN long USING (id, label) GROUP BY ALL),
+all{k} AS (SELECT node, label, count(*) AS n FROM at{k} GROUP BY ALL),
+whole{k} AS (SELECT node, sum(n) AS n, sum(n * n) / sum(n) AS pure FROM all{k} GROUP BY node),
+below{k} AS (
+  SELECT c.node, c.j, c.v, h.label, sum(h.n) AS n
+  FROM (SELECT DISTINCT node, j, v FROM held{k}) c
+  JOIN held{k} h ON h.node = c.node AND h.j = c.j AND h.v <= c.v GROUP BY ALL),
+cut{k} AS (
+  SELECT b.node, b.j, b.v, sum(b.n) AS low, max(w.n) - sum(b.n) AS high,
+    sum(b.n * b.n) AS low2, sum((a.n - b.n) * (a.n - b.n)) - sum(a.n * a.n) AS more
+  FROM below{k} b JOIN all{k} a USING (node, label) JOIN whole{k} w USING (node) GROUP BY ALL),
+gain{k} AS (
+  SELECT c.*, low2 / low + (more + w.pure * w.n) / high - w.pure AS gain
+  FROM cut{k} c JOIN whole{k} w USING (node) WHERE high > 0),
+split{k} AS (
+  SELECT node, j, v FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, j, v) AS rank
+    FROM gain{k} WHERE gain > 1e-9 * low) WHERE rank = 1),
+at{k + 1} AS (
+  SELECT a.id, a.label, CASE WHEN s.node IS NULL THEN a.node
+    ELSE 2 * a.node + CASE WHEN l.v <= s.v THEN 0 ELSE 1 END END AS node
+  FROM at{k} a LEFT JOIN split{k} s USING (node) LEFT JOIN long l ON l.id = a.id AND l.j = s.j)""")
+    parts.append(f"""
+leaf AS (
+  SELECT node, label AS tree FROM (
+    SELECT node, label, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, label) AS rank
+    FROM at{levels} GROUP BY node, label) WHERE rank = 1),
+tree AS (SELECT id, tree FROM at{levels} JOIN leaf USING (node))""")
+    return ", ".join(parts)
+
+
+_ELEVEN_SCORED = f"""WITH {_ELEVEN}, {_bayes(11)}, {_grown(11, 5)},
+scored AS (SELECT ex.*, tree, bayes FROM ex JOIN nb ON ex.id = nb.id JOIN tree ON ex.id = tree.id)"""
+
+# Two classes by a plane through the origin: what is above it, and what naive Bayes makes of it.
+_HALVES = """ex AS (
+  SELECT row_number() OVER () AS id, CAST(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS DOUBLE) AS label,
+    floor(l_quantity / 2) AS f0, 25 - floor(l_quantity / 2) AS f1 FROM lineitem)"""
+_HALVES_SUMMARY = f"WITH {_HALVES}, {_bayes(2)} " + " UNION ALL ".join(
+    f"SELECT '{kind.title}' AS model, avg(CAST({answer} = label AS DOUBLE)) AS accuracy "
+    "FROM ex JOIN nb ON ex.id = nb.id"
+    for kind in ALL_KINDS
+    for answer in ["bayes" if kind == BAYES else "CAST(f0 > f1 AS DOUBLE)"]
+)
+
 _HALF = "CAST(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS DOUBLE)"
 _GRADE = f"WITH {_GRADED} SELECT l_orderkey, l_linenumber, label, label AS prediction FROM ex"
 
@@ -253,11 +348,7 @@ ORACLES: dict[str, str] = {
     "accuracy_metrics": (
         f"{_BAYES_GRADED} SELECT avg(CAST(prediction = label AS DOUBLE)) AS accuracy FROM scored"
     ),
-    "accuracy_summary": " UNION ALL ".join(
-        f"SELECT '{kind.title}' AS model, avg(CAST({_HALF} = {_HALF} AS DOUBLE)) AS accuracy "
-        "FROM lineitem"
-        for kind in ALL_KINDS
-    ),
+    "accuracy_summary": _HALVES_SUMMARY,
     "accuracy_summary_noisy": f"{_NOISY_SUMMARY} SELECT model, accuracy FROM summary",
     "accuracy_lines": (
         f"{_SPLIT_SUMMARY} SELECT 'Accuracy = ' || CAST(accuracy AS VARCHAR) || ' (' || model "
@@ -291,5 +382,25 @@ ORACLES: dict[str, str] = {
     "single_model_run": (
         f"{_SPLIT_SUMMARY} SELECT model, accuracy FROM summary WHERE model = '{TREE.title}'"
     ),
+    "imperfect_run_report": (
+        f"{_split(f'NOT {_IMPERFECT}')} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored"
+    ),
+    "imperfect_run_rejects": f"WITH {_SPLIT_ITEM} {_BROKEN}",
+    "imperfect_run_counts": (
+        f"WITH {_SPLIT_ITEM} SELECT CASE WHEN learnt THEN 'training' ELSE 'validation' END AS source, "
+        f"count(*) AS lines, count(*) FILTER ({_IMPERFECT}) AS rejected FROM item GROUP BY learnt"
+    ),
+    "eleven_features": (
+        f"{_ELEVEN_SCORED} SELECT l_orderkey, l_linenumber, label, tree AS tree_prediction, "
+        "bayes AS bayes_prediction FROM scored"
+    ),
+    "eleven_features_checked": " UNION ALL ".join(
+        f"SELECT '{kind.title}' AS model, count(*) AS examples, count(*) AS equal_to_own, "
+        "0 AS models_equal_to_others FROM lineitem"
+        for kind in ALL_KINDS
+    ),
+    "logistic_optimum": (
+        "SELECT count(*) AS examples, TRUE AS gradient_is_small, TRUE AS zero_is_no_optimum FROM lineitem"
+    ),
     "saved_model_run": f"{_SPLIT_SCORED} SELECT {_REPORT_START}, {_REPORT_ALL} FROM scored",
 }

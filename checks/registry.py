@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
+import re
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
+from operator import add
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures
 from tallyframe.catalog import ALL_KINDS, BAYES, FOREST, LOGISTIC, TREE, ModelKind
 from tallyframe.functions import majority_vote, vector_text
+from tallyframe.functions.trees import table_of, with_tree_values
 from tallyframe.operators import (
     accuracy,
     accuracy_lines,
@@ -165,6 +168,104 @@ def models_side_by_side(spark, sf_dir):
     return scored.select(*fixtures.KEYS, "label", *[k.score_column for k in ALL_KINDS])
 
 
+# Eleven features: models that all differ, each against another way to the same answer.
+
+
+def _eleven(spark, sf_dir):
+    examples = fixtures.eleven(spark, sf_dir)
+    models = fit_all(examples)
+    return models, score_all(examples, models)
+
+
+def eleven_features(spark, sf_dir):
+    _, scored = _eleven(spark, sf_dir)
+    return scored.select(*fixtures.KEYS, "label", TREE.score_column, BAYES.score_column)
+
+
+def _linear(x: Column, weights: Sequence[float], start: float) -> Column:
+    return reduce(add, [F.lit(float(w)) * x[j] for j, w in enumerate(weights)], F.lit(float(start)))
+
+
+def _greatest(scores: Sequence[Column], classes: Sequence[float]) -> Column:
+    most = F.greatest(*scores)
+    return F.coalesce(*[F.when(s == most, F.lit(float(c))) for s, c in zip(scores, classes, strict=True)])
+
+
+def _by_hand(scored, models):
+    """``scored`` with what each model's own parameters say, under ``own_`` and the model's key."""
+    here = scored.withColumn("x", vector_to_array("features"))
+    weights = models[LOGISTIC.key].coefficientMatrix.toArray()
+    linear = [_linear(F.col("x"), row, 0.0) for row in weights]
+    here = here.withColumn("own_logistic", _greatest(linear, range(len(weights))))
+    bayes, to_label = models[BAYES.key].stages
+    theta, start = bayes.theta.toArray(), bayes.pi.toArray()
+    labels = [float(x) for x in re.findall(r"CAST\('([0-9.]+)' AS DOUBLE\)", to_label.getStatement())]
+    likely = [_linear(F.col("x"), row, p) for row, p in zip(theta, start, strict=True)]
+    here = here.withColumn("own_bayes", _greatest(likely, labels))
+    tree = models[TREE.key]
+    table = table_of([tree.toDebugString])
+    here = with_tree_values(here, F.col("x"), tree.numFeatures, table, ["own_tree"])
+    votes = []
+    for i, part in enumerate(models[FOREST.key].forest.trees):
+        names = {"predictionCol": f"vote_{i}", "rawPredictionCol": "", "probabilityCol": ""}
+        here = part.copy({part.getParam(k): v for k, v in names.items()}).transform(here)
+        votes.append(f"vote_{i}")
+    return majority_vote(here, votes, "own_forest")
+
+
+def eleven_features_checked(spark, sf_dir):
+    """Of each model: on how many rows it is what its parameters say, and which others it is nowhere apart from."""
+    models, scored = _eleven(spark, sf_dir)
+    here, rows = _by_hand(scored, models), []
+    for kind in ALL_KINDS:
+        same = {
+            other.key: F.sum((F.col(kind.score_column) == F.col(f"own_{other.key}")).cast("long"))
+            for other in ALL_KINDS
+        }
+        others = [(same[k.key] == F.count("*")).cast("int") for k in ALL_KINDS if k != kind]
+        rows.append(
+            here.agg(
+                F.lit(kind.title).alias("model"),
+                F.count("*").alias("examples"),
+                same[kind.key].alias("equal_to_own"),
+                reduce(add, others).alias("models_equal_to_others"),
+            )
+        )
+    return reduce(DataFrame.union, rows)
+
+
+def logistic_optimum(spark, sf_dir):
+    """Whether the gradient of the likelihood is near zero where logistic regression ended."""
+    examples = fixtures.eleven(spark, sf_dir)
+    weights = fit(examples, LOGISTIC).coefficientMatrix.toArray()
+    classes, width = weights.shape
+
+    here = examples.withColumn("x", vector_to_array("features"))
+    here = here.withColumn("z", F.array(*[_linear(F.col("x"), row, 0.0) for row in weights]))
+    here = here.withColumn("e", F.transform("z", lambda z: F.exp(z - F.array_max("z"))))
+    total = reduce(add, [F.col("e")[c] for c in range(classes)])
+
+    def steepest(chance: Callable[[int], Column]) -> Column:
+        return F.greatest(
+            *[
+                F.abs(F.avg((chance(c) - (F.col("label") == c).cast("double")) * F.col("x")[j]))
+                for c in range(classes)
+                for j in range(width)
+            ]
+        )
+
+    there = here.agg(
+        F.count("*").alias("examples"),
+        steepest(lambda c: F.col("e")[c] / total).alias("most"),
+        steepest(lambda c: F.lit(1.0 / classes)).alias("at_zero"),
+    )
+    return there.select(
+        "examples",
+        (F.col("most") < 0.01 * F.col("at_zero")).alias("gradient_is_small"),
+        (F.col("at_zero") > 0.1).alias("zero_is_no_optimum"),
+    )
+
+
 # Evaluation.
 
 
@@ -276,6 +377,37 @@ def saved_model_run(spark, sf_dir):
     return score_saved(spark, validation, directory, report_path=report).report
 
 
+def _imperfect_run(spark, sf_dir):
+    rejects = new_shared_path(spark, "rejects")
+    run = train_and_validate(
+        spark,
+        *fixtures.imperfect_lines(spark, sf_dir),
+        report_path=new_shared_path(spark, "report"),
+        strict_width=True,
+        rejects_path=rejects,
+    )
+    return run, rejects
+
+
+def imperfect_run_report(spark, sf_dir):
+    return _imperfect_run(spark, sf_dir)[0].report
+
+
+def imperfect_run_rejects(spark, sf_dir):
+    run, rejects = _imperfect_run(spark, sf_dir)
+    parts = [
+        spark.read.text(f"{rejects}/{source}").select(F.lit(source).alias("source"), "value")
+        for source in run.rejects
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def imperfect_run_counts(spark, sf_dir):
+    run, _ = _imperfect_run(spark, sf_dir)
+    rows = [(source, seen["lines"], seen["rejected"]) for source, seen in run.rejects.items()]
+    return spark.createDataFrame(rows, "source string, lines long, rejected long")
+
+
 def empty_validation_lines(spark, sf_dir):
     training, _ = fixtures.split_lines(spark, sf_dir)
     run = train_and_validate(spark, training, fixtures.header_only(spark), kinds=[TREE, BAYES])
@@ -309,6 +441,9 @@ QUERIES: dict[str, Query] = {
     "hard_vote": hard_vote,
     **{f"prediction_pairs_{kind.key}": partial(_pairs, kind) for kind in ALL_KINDS},
     "models_side_by_side": models_side_by_side,
+    "eleven_features": eleven_features,
+    "eleven_features_checked": eleven_features_checked,
+    "logistic_optimum": logistic_optimum,
     "correct_rows": right_rows,
     "wrong_rows": false_rows,
     "accuracy": bayes_accuracy,
@@ -332,5 +467,8 @@ QUERIES: dict[str, Query] = {
     **{f"prediction_run_{kind.key}": partial(_prediction_run, kind) for kind in ALL_KINDS},
     "single_model_run": single_model_run,
     "empty_validation_lines": empty_validation_lines,
+    "imperfect_run_report": imperfect_run_report,
+    "imperfect_run_rejects": imperfect_run_rejects,
+    "imperfect_run_counts": imperfect_run_counts,
     "saved_model_run": saved_model_run,
 }

@@ -3,7 +3,8 @@
     train   --training PATH --validation PATH [--models DIR] [--report PATH]
     predict --testing PATH --models DIR [--report PATH]
 
-``--kind`` (repeatable) picks single models; the default is all four. The
+``--resume`` takes up a training run that failed, and ``--rejects`` takes lines
+that are no examples instead of failing. ``--kind`` (repeatable) picks single models; the default is all four. The
 master and all sizing come from the submitter.
 """
 
@@ -26,6 +27,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     train.add_argument("--validation", nargs="+", required=True)
     train.add_argument("--models")
     train.add_argument("--overwrite", action="store_true")
+    train.add_argument("--resume", action="store_true", help="keep the models already fitted")
     train.add_argument("--max-partitions", type=int)
     train.add_argument("--parallelism", type=int, default=1)
     train.add_argument("--iterations", type=int, help="of logistic regression, at most")
@@ -37,6 +39,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         command.add_argument("--kind", action="append", choices=[k.key for k in ALL_KINDS])
         command.add_argument("--report")
         command.add_argument("--strict-width", action="store_true")
+        command.add_argument("--rejects", help="where lines go that are no examples")
+        command.add_argument("--max-rejects", type=int, help="of one source, else the run ends")
         command.add_argument("--dataset-name")
         command.add_argument("--header", help="the header line, if it is known")
     return parser.parse_args(argv)
@@ -46,6 +50,8 @@ def _print(result: RunResult, dataset: str | None) -> None:
     result.report.show()
     for row in accuracy_lines(result.summary, dataset).collect():
         print(row["line"])
+    for source, seen in result.rejects.items():
+        print(f"Rejected {seen['rejected']} of {seen['lines']} {source} lines")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -68,6 +74,9 @@ def main(argv: list[str] | None = None) -> None:
             header=args.header,
             options={LOGISTIC.key: logistic},
             strict_width=args.strict_width,
+            resume=args.resume,
+            rejects_path=args.rejects,
+            max_rejects=args.max_rejects,
         )
     else:
         result = score_saved(
@@ -78,6 +87,8 @@ def main(argv: list[str] | None = None) -> None:
             report_path=args.report,
             strict_width=args.strict_width,
             header=args.header,
+            rejects_path=args.rejects,
+            max_rejects=args.max_rejects,
         )
     _print(result, args.dataset_name)
 

@@ -6,6 +6,7 @@ saved in Spark's own format.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
@@ -22,7 +23,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyframe.catalog import (
     ALL_KINDS,
@@ -43,7 +48,7 @@ from tallyframe.catalog import (
     TREE_SEED,
     ModelKind,
 )
-from tallyframe.functions.labels import with_class_index, with_label_domain
+from tallyframe.functions.labels import with_label_domain
 from tallyframe.operators.voting import VotingForest
 
 # Only the class is asked for, so scoring makes one call per row and model.
@@ -97,37 +102,56 @@ def fit_tree(
 
 
 def fit_bayes(examples: DataFrame, labels: Sequence[float] | None = None) -> PipelineModel:
-    """Multinomial naive Bayes over the classes that occur.
+    """Multinomial naive Bayes over the classes that occur, whatever their labels.
 
-    The model numbers its classes 0, 1, ... in the order of the labels. They are
-    mapped back after scoring, by a stage of the model. Whole labels are fitted
-    as they are, and the pass of the fit lists them. For others pass ``labels``,
-    all that occur.
+    One pass: rows and sums of features for each label, combined in each task
+    first. Spark's estimator is then fitted on these sums alone, a few rows a
+    class. It numbers its classes 0, 1, ... in the order of the labels; they are
+    mapped back after scoring, by a stage of the model. ``labels``, if given, are
+    all that may occur.
     """
-    if labels is None:
-        model, labels = _fit_whole_labels(examples)
-        return _with_label_values(model, labels)
-    labels = sorted(labels)
+    totals = _sums_by_label(examples)
+    found = [row["label"] for row in totals]
+    if labels is not None and not set(found) <= set(labels):
+        raise ValueError(f"labels not listed: {sorted(set(found) - set(labels))}")
+    nothing = Vectors.sparse(totals[0]["sum"].size, {})
+    # A row that holds the sums, and one that stands for the number of the others.
+    rows = [
+        (float(index), vector, weight)
+        for index, row in enumerate(totals)
+        for vector, weight in ((row["sum"], 1.0), (nothing, row["n"] - 1.0))
+    ]
+    shape = StructType(
+        [
+            StructField("class", DoubleType()),
+            StructField("features", VectorUDT()),
+            StructField("weight", DoubleType()),
+        ]
+    )
     estimator = NaiveBayes(
         modelType="multinomial",
         smoothing=BAYES_SMOOTHING,
-        labelCol="__class",
+        labelCol="class",
+        weightCol="weight",
         predictionCol="__found",
         **_CLASS_ONLY,
     )
-    return _with_label_values(estimator.fit(with_class_index(examples, labels, "__class")), labels)
+    few = examples.sparkSession.createDataFrame(rows, shape).coalesce(1)
+    return _with_label_values(estimator.fit(few), found)
 
 
-def _fit_whole_labels(examples: DataFrame) -> tuple[NaiveBayesModel, list[float]]:
-    estimator = NaiveBayes(
-        modelType="multinomial",
-        smoothing=BAYES_SMOOTHING,
-        predictionCol="__found",
-        **_CLASS_ONLY,
-    )
-    model = estimator.fit(examples)
-    # Class i of the model is the i-th label; the fitted model keeps the list.
-    return model, list(model._java_obj.oldLabels())
+def _sums_by_label(examples: DataFrame) -> list[Row]:
+    """(label, n, sum) of each label that occurs, in order. Negative features are refused."""
+    measures = Summarizer.metrics("count", "sum", "min").summary(F.col("features"))
+    totals = examples.groupBy("label").agg(measures.alias("m"))
+    rows = totals.select("label", F.col("m.count").alias("n"), "m.sum", "m.min").collect()
+    if not rows:
+        raise ValueError("no examples to fit")
+    if any(row["label"] is None or math.isnan(row["label"]) for row in rows):
+        raise ValueError("a label is null or not a number")
+    if any(min(row["min"].toArray(), default=0.0) < 0 for row in rows):
+        raise ValueError("features must be nonnegative")
+    return sorted(rows, key=lambda row: row["label"])
 
 
 def _with_label_values(model: NaiveBayesModel, labels: Sequence[float]) -> PipelineModel:
@@ -166,7 +190,7 @@ _FITS: dict[str, Callable[..., Transformer]] = {
 
 # Passes each fit makes over its input before it works on a form of its own,
 # which Spark ML keeps by itself: statistics, split candidates, conversion.
-_PASSES = {LOGISTIC.key: 2, TREE.key: 3, BAYES.key: 2, FOREST.key: 3}
+_PASSES = {LOGISTIC.key: 2, TREE.key: 3, BAYES.key: 1, FOREST.key: 3}
 
 
 def worth_keeping(kinds: Iterable[ModelKind]) -> bool:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import MLWriter
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallyframe.functions.trees import table_of, with_tree_values
 from tallyframe.functions.votes import majority_vote
 
 
@@ -14,28 +17,21 @@ class VotingForest(Transformer):
     """Adds ``prediction``, the majority of the trees' predictions.
 
     Spark's own forest adds up class probabilities, which gives another answer
-    on close calls. The saved form is that of the wrapped Spark forest.
+    on close calls. The trees are read once and scored as expressions over the
+    feature array, all of them in one pass. The saved form is that of the
+    wrapped Spark forest.
     """
 
     def __init__(self, forest: RandomForestClassificationModel) -> None:
         super().__init__()
         self.forest = forest
-        self._trees = []
-        for position, tree in enumerate(forest.trees):
-            settings = {
-                "predictionCol": f"__vote_{position}",
-                "rawPredictionCol": "",
-                "probabilityCol": "",
-            }
-            self._trees.append(tree.copy({tree.getParam(k): v for k, v in settings.items()}))
+        self._table = table_of([tree.toDebugString for tree in forest.trees])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        for tree in self._trees:
-            dataset = tree.transform(dataset)
-        votes = [tree.getPredictionCol() for tree in self._trees]
-        return majority_vote(
-            dataset, votes, "prediction", self.forest.numClasses, trusted=True
-        )
+        votes = [f"__vote_{position}" for position in range(len(self._table.roots))]
+        values = vector_to_array(F.col(f"`{self.forest.getFeaturesCol()}`"))
+        voted = with_tree_values(dataset, values, self.forest.numFeatures, self._table, votes)
+        return majority_vote(voted, votes, "prediction", self.forest.numClasses, trusted=True)
 
     def write(self) -> MLWriter:
         return self.forest.write()

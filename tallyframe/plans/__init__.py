@@ -1,3 +1,3 @@
-from tallyframe.plans.runs import RunResult, score_saved, train_and_validate
+from tallyframe.plans.runs import RunResult, TooManyRejects, score_saved, train_and_validate
 
-__all__ = ["RunResult", "score_saved", "train_and_validate"]
+__all__ = ["RunResult", "TooManyRejects", "score_saved", "train_and_validate"]

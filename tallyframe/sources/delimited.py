@@ -139,6 +139,42 @@ def rejected_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
     return _lenient(lines, width).filter("NOT good").select("value")
 
 
+def sift(lines: DataFrame, width: int | None = None) -> DataFrame:
+    """One row a line: (``label``, ``features``) of an example, or ``rejected``, the line itself.
+
+    Examples and rejects of one scan: keep the frame, write ``rejects_of`` it, and
+    work on ``examples_of`` it. Lines are accepted as by ``parse_labelled(..., strict=False)``.
+    """
+    numbers, good = F.col("numbers"), F.col("good")
+    vector = array_to_vector(F.slice(numbers, 1, F.size(numbers) - 1))
+    return _lenient(lines, width).select(
+        F.when(good, F.element_at(numbers, -1)).alias("label"),
+        F.when(good, vector).alias("features"),
+        F.when(~good, F.col("value")).alias("rejected"),
+    )
+
+
+def examples_of(sifted: DataFrame) -> DataFrame:
+    return sifted.filter("rejected IS NULL").select("label", "features")
+
+
+def rejects_of(sifted: DataFrame) -> DataFrame:
+    return sifted.filter("rejected IS NOT NULL").select(F.col("rejected").alias("value"))
+
+
+def load_sifted(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    header: str | None = None,
+    strict_width: bool = False,
+) -> DataFrame:
+    """Read files, remove the header and sift the lines."""
+    if header is None:
+        header = probe_header(spark, paths)
+    lines = strip_header(read_lines(spark, paths), header)
+    return sift(lines, _width(header) if strict_width else None)
+
+
 def load_labelled(
     spark: SparkSession,
     paths: str | Sequence[str],

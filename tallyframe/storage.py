@@ -28,8 +28,17 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, by Spark's own file system for it.
+
+    PySpark has no public call for this: a reader of a path that is not there
+    fails its analysis, which sessions with an observation report as an error.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def refuse_existing(spark: SparkSession, path: str) -> None:
     """Fail now if ``path`` exists, rather than after hours of work."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if path_exists(spark, path):
         raise FileExistsError(f"path already exists: {path}")

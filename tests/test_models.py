@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from checks import fixtures
@@ -96,20 +97,46 @@ def test_unlabelled_rows_can_be_scored(examples, models):
 
 def test_bayes_takes_any_label_values_in_numeric_order(spark, examples):
     shifted = examples.withColumn("label", F.when(F.col("label") == 3, 10.5).otherwise(F.col("label")))
-    predicted = score(shifted, fit_bayes(shifted, [4, 5, 6, 7, 8, 10.5])).select("prediction").distinct()
-    assert {row["prediction"] for row in predicted.collect()} == {4.0, 5.0, 6.0, 7.0, 8.0, 10.5}
-
-
-def test_bayes_lists_whole_labels_in_the_pass_of_the_fit(spark, examples):
-    group = "bayes-jobs"
-    spark.sparkContext.setJobGroup(group, "")
-    fit_bayes(examples, labels=[3.0, 4.0, 5.0, 6.0, 7.0, 8.0])
-    given = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
-    spark.sparkContext.setJobGroup(f"{group}-2", "")
-    model = fit_bayes(examples)
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{group}-2")) <= given
-    predicted = {r["prediction"] for r in score(examples, model).select("prediction").distinct().collect()}
-    assert predicted <= {3.0, 4.0, 5.0, 6.0, 7.0, 8.0}
+    for labels in (None, [4, 5, 6, 7, 8, 10.5]):
+        predicted = score(shifted, fit_bayes(shifted, labels)).select("prediction").distinct()
+        assert {r["prediction"] for r in predicted.collect()} == {4.0, 5.0, 6.0, 7.0, 8.0, 10.5}
+    with pytest.raises(ValueError, match="not listed"):
+        fit_bayes(shifted, [4, 5])
+
+
+def test_bayes_makes_one_pass_and_equals_the_estimator(spark, examples, tmp_path):
+    from pyspark.ml.classification import NaiveBayes
+
+    # What an input is read for is counted by the rows that pass it.
+    passed = spark.sparkContext.accumulator(0)
+    text = str(tmp_path / "rows")
+    examples.write.parquet(text)
+    read = spark.read.parquet(text)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(len(batch))
+            yield batch
+
+    values = read.select("label", vector_to_array("features").alias("x"))
+    watched = values.mapInPandas(count, values.schema).select(
+        "label", array_to_vector("x").alias("features")
+    )
+    ours = fit_bayes(watched).stages[0]
+    assert passed.value == examples.count()
+    theirs = NaiveBayes(modelType="multinomial", smoothing=1.0).fit(read)
+    seen = [3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+    assert (ours.pi.toArray() == theirs.pi.toArray()).all() and ours.numClasses == len(seen)
+    assert (ours.theta.toArray() == theirs.theta.toArray()).all()
+
+
+def test_bayes_of_odd_examples(spark, examples):
+    with pytest.raises(ValueError, match="no examples"):
+        fit_bayes(examples.limit(0))
+    with pytest.raises(ValueError, match="null or not a number"):
+        fit_bayes(examples.withColumn("label", F.when(F.col("label") > 3, F.col("label"))))
+    one = fit_bayes(examples.limit(1))
+    assert score(examples, one).select("prediction").distinct().count() == 1
 
 
 def test_one_failed_fit_starts_no_other(spark, examples, monkeypatch):

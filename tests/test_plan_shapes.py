@@ -8,8 +8,8 @@ import pytest
 
 from checks import fixtures
 from conftest import SF_DIR
-from tallyframe import TREE
-from tallyframe.operators import accuracy_summary, comparison_report, fit_all, score_all
+from tallyframe import FOREST, TREE
+from tallyframe.operators import accuracy_summary, comparison_report, fit, fit_all, score_all
 from tallyframe.sources import load_labelled
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonUDF")
@@ -58,3 +58,13 @@ def test_one_accuracy_runs_one_model(scored):
 def test_table_scans_read_only_the_columns_in_use(spark):
     plan = explained(fixtures.halves(spark, SF_DIR).select("label", "features"))
     assert "ReadSchema: struct<l_quantity:double>" in plan
+
+
+def test_the_forest_is_one_conversion_and_expressions(spark):
+    examples = fixtures.cells(spark, SF_DIR)
+    forest = fit(examples, FOREST)
+    plan = explained(forest.transform(examples).select("prediction"))
+    # The vector is made and taken apart; no call for a tree.
+    assert plan.count("UDF(") == 2 and "Exchange" not in plan
+    code = explained(forest.transform(examples).select("prediction"), "codegen")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
