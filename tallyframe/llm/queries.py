@@ -7,11 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chosen_path, exact_dedup, fm_index, line_dedup, oracles, packing, pieces, pii, quality, substrings, warc
+from tallyframe.llm import (
+    alignment,
+    chosen_path,
+    classifier,
+    exact_dedup,
+    fm_index,
+    line_dedup,
+    oracles,
+    packing,
+    pieces,
+    pii,
+    quality,
+    substrings,
+    warc,
+    whitening,
+)
 from tallyframe.llm.common import table
 
 #: Where the public tokenizers lie; a parameter of the operator.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +79,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened, model = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitening.by_component(whitened, model)
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, BYTE_LEVEL_MODEL, PIECE_MODEL).documents
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -76,6 +106,9 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_ngram_jaccard_join,
         op10_best_fit_packing,
+        op11_embedding_whitening,
+        op12_quality_classifier,
+        op13_cross_tokenizer_alignment,
     )
 }
 

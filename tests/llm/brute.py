@@ -216,3 +216,85 @@ def best_fit(lengths, sizes, bin_cost):
         size = min((s for s in sizes if s >= n), key=cost)
         bins.append((size - n, [n]))
     return sorted((sum(x), min(s for s in sizes if s >= sum(x))) for _, x in bins)
+
+
+# ---- 11 ----
+
+
+def whitened(vectors, most):
+    """(n, deviation of each, whitened of each, explained) of lists of whole entries, by plain formulas."""
+    from fractions import Fraction
+
+    import numpy as np
+
+    x = [[math.floor(64 * float(c)) + 1_000_000 for c in v] for v in vectors]
+    n, width = len(x), len(x[0])
+    sums = [sum(row[j] for row in x) for j in range(width)]
+    centred = [[n * row[j] - sums[j] for j in range(width)] for row in x]
+    matrix = np.array(
+        [
+            [float(Fraction(sum(r[i] * r[j] for r in centred), n**3)) for j in range(width)]
+            for i in range(width)
+        ]
+    )
+    values, basis = np.linalg.eigh(matrix)
+    values, basis = values[::-1][:most], basis[:, ::-1][:, :most]
+    deviation = [sum(v * v for v in row) for row in centred]
+    there = (np.array(centred, float) / n) @ basis / np.sqrt(values)
+    return n, deviation, there, values / np.trace(matrix)
+
+
+# ---- 13 ----
+
+
+def aligned(texts, byte_level_path, pieces_path):
+    """The row of each text, by both libraries and offset by offset."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a_of = Tokenizer.from_file(byte_level_path)
+    a_of.encode_special_tokens = True
+    b_of = SentencePieceProcessor(model_file=pieces_path)
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = dict(zip(map(chr, printable), printable, strict=True))
+    for b in sorted(set(range(256)) - set(printable)):
+        letters[chr(256 + sum(x not in printable for x in range(b)))] = b
+
+    def of_a(i):
+        return bytes(letters[c] for c in a_of.id_to_token(i))
+
+    def of_b(i):
+        piece = b_of.id_to_piece(i)
+        return bytes([int(piece[3:-1], 16)]) if b_of.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    def ends(ids, of):
+        at, out = 0, []
+        for i in ids:
+            at += len(of(i))
+            out.append(at)
+        return out
+
+    found, counts = [], Counter()
+    for text in texts:
+        data = (" " + text).encode() if text else b""
+        a = a_of.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = b_of.encode(text) if text else []
+        if b"".join(map(of_a, a)) != data or b"".join(map(of_b, b)) != data:
+            a, b = [], []
+        ends_a, ends_b = ends(a, of_a), ends(b, of_b)
+        links, groups, from_a, from_b = [], [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            to_a, to_b = ends_a.index(end, from_a) + 1, ends_b.index(end, from_b) + 1
+            groups.append(",".join(map(str, a[from_a:to_a])) + "|" + ",".join(map(str, b[from_b:to_b])))
+            links.append((a[to_a - 1], b[to_b - 1]))
+            from_a, from_b = to_a, to_b
+        counts.update(links)
+        found.append((len(a), len(b), len(groups), links, sha(";".join(groups)) if groups else ""))
+    most = defaultdict(int)
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return [
+        (n_a, n_b, n_groups, len(links), sum(counts[x] == most[x[1]] for x in links),
+         sum(counts[x] for x in links), digest)
+        for n_a, n_b, n_groups, links, digest in found
+    ]
