@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import id_back, id_of, whole_text, write_out
+from tallyframe.llm.common import by_own_names, id_back, id_of, set_apart, whole_text, write_out
 from tallyframe.llm.components import components
 from tallyframe.llm.shingles import (
     SHINGLE,
@@ -45,9 +45,8 @@ DENSE = 0.5
 MAX_DEPTH = 6
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 4_000_000
-#: Pairs whose embeddings agree in fewer coordinates are not verified; at similarity 0.8
-#: this loses less than one pair in a million.
-SCREEN = 33
+#: The share of pairs at the threshold that the screen by embeddings may lose.
+SCREEN_LOSS = 3e-7
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _GOLD) | np.uint64(1)
@@ -101,6 +100,20 @@ def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 # ---- paths ---------------------------------------------------------------------------
 
 
+def screen_for(threshold: float, loss: float = SCREEN_LOSS) -> int:
+    """How many coordinates must agree, so that a pair at the threshold fails with chance ``loss`` at most.
+
+    Each coordinate of two sets agrees with the chance of their similarity, by
+    itself: the quantile of a binomial distribution.
+    """
+    below = 0.0
+    for agree in range(COORDINATES + 1):
+        below += math.comb(COORDINATES, agree) * threshold**agree * (1 - threshold) ** (COORDINATES - agree)
+        if below > loss:
+            return agree
+    return COORDINATES
+
+
 def runs_for(recall: float, threshold: float) -> int:
     """How many runs find a pair at the threshold with chance ``recall``."""
     # The fixed point of q = 1 - (1 - s q)^2.
@@ -226,14 +239,14 @@ def _meet_first(rows: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _screened(rows: pd.DataFrame) -> np.ndarray:
+def _screened(rows: pd.DataFrame, agree: int) -> np.ndarray:
     """Positions of rows with a likely partner that they meet here first."""
     a, b = _pairs(rows)
     values = np.stack(rows["sketch"].to_numpy())
     keep = np.zeros(len(a), bool)
     for at in range(0, len(a), 32_768):
         same = values[a[at : at + 32_768]] == values[b[at : at + 32_768]]
-        keep[at : at + 32_768] = same.sum(axis=1) >= SCREEN
+        keep[at : at + 32_768] = same.sum(axis=1) >= agree
     a, b = a[keep], b[keep]
     if len(a):
         first = _meet_first(rows, a, b)
@@ -241,15 +254,16 @@ def _screened(rows: pd.DataFrame) -> np.ndarray:
     return np.unique(np.concatenate([a, b]))
 
 
-def screen(rows: DataFrame) -> DataFrame:
+def screen(rows: DataFrame, threshold: float) -> DataFrame:
     """The rows of cells that need their whole sets."""
+    agree = screen_for(threshold)
     kept = [*KEY, "slot", "block", "rep", "slots", "leaves"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches, KEY):
             edges = group_edges(part, KEY)
             chosen = [
-                start + _screened(part.iloc[start:end])
+                start + _screened(part.iloc[start:end], agree)
                 for start, end in zip(edges[:-1], edges[1:], strict=True)
                 if end - start > 1
             ]
@@ -363,7 +377,7 @@ def _classes(
     number = F.monotonically_increasing_id().alias("rep")
     classes = write_out(classes.select(*SAME, "n_copies", "first.*", number), "classes")
     reps = classes.select("rep", "n", "sketch")
-    likely = screen(cells(reps, leaves(reps, recall, threshold)))
+    likely = screen(cells(reps, leaves(reps, recall, threshold)), threshold)
     linked = links(docs, classes, likely, threshold, width)
     roots = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
@@ -412,5 +426,6 @@ def one_of_each(
     _, known = _classes(docs.select("doc_id", "text"), threshold, recall, width)
     kept = known.filter(F.col("top") == F.struct(*DOC)).select(*DOC)
     # Copies go before the rows are shuffled, so that an empty text without an id is no hot key.
+    docs, back = set_apart(docs, ["doc_id", "text"])
     rows = _keyed(docs, *docs.columns).dropDuplicates(DOC)
-    return rows.join(kept.hint("merge"), DOC, "left_semi").drop(*DOC)
+    return rows.join(kept.hint("merge"), DOC, "left_semi").select(*by_own_names(back))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from string import ascii_lowercase, ascii_uppercase
 
@@ -48,6 +48,29 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK_RUN), "")
 
 
+def set_apart(
+    docs: DataFrame, needed: Sequence[str], replaced: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with the caller's other columns under names that no step uses, and how to get all back.
+
+    Columns in ``replaced`` are left out: the operator makes its own. The names of
+    the rest come back with ``by_own_names``, in their order.
+    """
+    back, inner = {}, []
+    for i, name in enumerate(docs.columns):
+        if name in replaced and name not in needed:
+            continue
+        inside = name if name in needed else f"__caller_{i}"
+        inner.append(F.col(f"`{name}`").alias(inside))
+        if name not in replaced:
+            back[name] = F.col(inside)
+    return docs.select(*inner), back
+
+
+def by_own_names(back: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in back.items()]
+
+
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Hand texts to Python a thousand at a time, so that workers stay small."""

@@ -59,7 +59,7 @@ def _hash_with(primes: tuple[int, int]):
                     chunk_hash(data, follow, prime, base)
                     for data, follow in zip(rows["data"], rows["follow"], strict=True)
                 ]
-            yield rows[["_id", "_sha", "n", "f0", "f1"]]
+            yield rows[["_row", "_id", "_sha", "n", "f0", "f1"]]
 
     return hash_chunks
 
@@ -81,32 +81,33 @@ def _texts(docs: DataFrame) -> DataFrame:
 def fingerprints(
     docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, primes: tuple[int, int] = PRIMES
 ) -> DataFrame:
-    """(_id, _sha, n, f0, f1): one row for each pair of id and text."""
-    shape = "_id long, _sha string, n long, f0 long, f1 long"
+    """(_id, _sha, n, f0, f1): one row for each row of ``docs``."""
+    shape = "_row long, _id long, _sha string, n long, f0 long, f1 long"
     texts = _texts(docs).withColumn("_sha", F.sha2("data", 256))
+    # The number of a row keeps rows apart that share id and text, until their chunks are added up.
+    texts = texts.withColumn("_row", F.monotonically_increasing_id())
     follow = F.greatest(F.col("n") - F.col("start") - chunk_bytes, F.lit(0))
 
     def hashed(chunks: DataFrame) -> DataFrame:
-        columns = ["_id", "_sha", "n", "data", follow.alias("follow")]
+        columns = ["_row", "_id", "_sha", "n", "data", follow.alias("follow")]
         return chunks.select(*columns).mapInPandas(_hash_with(primes), shape)
 
-    small = hashed(_chunked(texts.filter(F.col("n") <= chunk_bytes), chunk_bytes)).distinct()
+    small = hashed(_chunked(texts.filter(F.col("n") <= chunk_bytes), chunk_bytes))
     large = _chunked(texts.filter(F.col("n") > chunk_bytes), chunk_bytes)
     summed = (
-        hashed(large.repartition("_id", "at"))
-        .groupBy("_id", "_sha", "n")
-        .agg(F.sum("f0").alias("f0"), F.sum("f1").alias("f1"), F.count("*").alias("chunks"))
+        hashed(large.repartition("_row", "at"))
+        .groupBy("_row", "_id", "_sha", "n")
+        .agg(F.sum("f0").alias("f0"), F.sum("f1").alias("f1"))
     )
-    # Repeated rows have added each chunk as many times as there are rows.
-    times = F.expr(f"chunks div ((n + {chunk_bytes - 1}) div {chunk_bytes})")
-    parts = [F.expr(f"(f{k} div times) % {prime}").alias(f"f{k}") for k, prime in enumerate(primes)]
-    return small.union(summed.withColumn("times", times).select("_id", "_sha", "n", *parts))
+    parts = [(F.col(f"f{k}") % prime).alias(f"f{k}") for k, prime in enumerate(primes)]
+    own = ["_id", "_sha", "n"]
+    return small.select(*own, "f0", "f1").union(summed.select(*own, *parts))
 
 
 def _unequal(docs: DataFrame, members: DataFrame, chunk_bytes: int) -> DataFrame:
     """Of groups with equal fingerprints, those whose texts differ in some chunk."""
-    chunks = _chunked(_texts(docs).join(members, ["_id", "n"]), chunk_bytes)
-    compared = chunks.groupBy(*FINGERPRINT, "at").agg(
+    texts = _texts(docs).withColumn("_sha", F.sha2("data", 256)).join(members, ["_id", "_sha"])
+    compared = _chunked(texts, chunk_bytes).groupBy(*FINGERPRINT, "at").agg(
         F.min("data").alias("least"), F.max("data").alias("most")
     )
     return compared.filter("least <> most").select(*FINGERPRINT).distinct()
@@ -115,26 +116,28 @@ def _unequal(docs: DataFrame, members: DataFrame, chunk_bytes: int) -> DataFrame
 def dedup(
     docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, primes: tuple[int, int] = PRIMES
 ) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row a document.
+    """doc_id, keep_id, group_size, kept, text_sha256: one row a row of ``docs``.
 
     Texts are equal when they are identical after lower-casing A-Z; null counts
-    as empty. The largest id of a group stays; a null id is larger than others.
-    Rows that share id and text are one document; an id with several texts has
-    a row for each.
+    as empty. The largest id of a group stays, and every row counts in
+    ``group_size``. Rows without an id give way to those with one; where all of a
+    group have none, ``keep_id`` is null and they are kept. Rows that share the
+    largest id and the text are all kept: they are one document.
     """
     found = write_out(fingerprints(docs.select("doc_id", "text"), chunk_bytes, primes), "texts")
     several = found.groupBy(*FINGERPRINT).count().filter("count > 1").drop("count")
-    members = found.join(several, FINGERPRINT).select("_id", *FINGERPRINT).distinct()
+    members = found.join(several, FINGERPRINT).select("_id", "_sha", "f0", "f1").distinct()
     unequal = write_out(_unequal(docs, members, chunk_bytes), "unequal").withColumn("_bad", F.lit(1))
     # Where a comparison failed, the texts' own digests tell them apart.
     part = F.when(F.col("_bad") == 1, F.col("_sha")).otherwise("")
     marked = found.join(unequal, FINGERPRINT, "left").withColumn("_part", part).drop("_bad")
     key = [*FINGERPRINT, "_part"]
-    sizes = marked.groupBy(*key).agg(F.max("_id").alias("keep"), F.count("*").alias("group_size"))
+    own = id_back(F.col("_id"))
+    sizes = marked.groupBy(*key).agg(F.max(own).alias("keep"), F.count("*").alias("group_size"))
     return marked.join(sizes, key).select(
-        id_back(F.col("_id")).alias("doc_id"),
-        id_back(F.col("keep")).alias("keep_id"),
+        own.alias("doc_id"),
+        F.col("keep").alias("keep_id"),
         "group_size",
-        (F.col("_id") == F.col("keep")).alias("kept"),
+        F.coalesce(own == F.col("keep"), F.col("keep").isNull()).alias("kept"),
         F.col("_sha").alias("text_sha256"),
     )

@@ -16,7 +16,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import BLANKS, ascii_lower, id_of, unique_name, whole_text, write_out
+from tallyframe.llm.common import (
+    BLANKS,
+    ascii_lower,
+    by_own_names,
+    id_of,
+    set_apart,
+    unique_name,
+    whole_text,
+    write_out,
+)
 from tallyframe.storage import new_shared_path
 
 MIN_CHARS = 10
@@ -163,16 +172,15 @@ def dedup_lines(docs: DataFrame, **options: int) -> DataFrame:
     of one id as one document: they keep what they share, and each loses the
     lines of smaller ids from its own text. Columns of the new names are replaced.
     """
-    own = ["n_lines", "n_dropped", "kept_text"]
-    asked = [c for c in docs.columns if c not in own]
+    docs, back = set_apart(docs, ["doc_id", "text"], ["n_lines", "n_dropped", "kept_text"])
     # Which lines go may be much or little; texts are always dealt by id, at any size.
-    dropped = dropped_lines(docs, **options)
-    here = _keyed(docs, *asked)
+    dropped = dropped_lines(docs.select("doc_id", "text"), **options)
+    here = _keyed(docs, *docs.columns)
     joined = here.join(dropped.hint("merge"), TEXT, "left").withColumn("_lines", F.split(whole_text(), "\n"))
     none = F.col("_dropped").isNull()
     kept = F.array_join(_without(F.col("_lines"), F.col("_dropped")), "\n")
     return joined.select(
-        *asked,
+        *by_own_names(back),
         F.size("_lines").cast("long").alias("n_lines"),
         F.when(none, 0).otherwise(F.size("_dropped")).cast("long").alias("n_dropped"),
         F.when(none, whole_text()).otherwise(kept).alias("kept_text"),

@@ -89,7 +89,8 @@ WITH texts AS (
   FROM documents
 )
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+       coalesce(doc_id = max(doc_id) OVER same, max(doc_id) OVER same IS NULL) AS kept,
+       sha256(t) AS text_sha256
 FROM texts WINDOW same AS (PARTITION BY t)
 """
 

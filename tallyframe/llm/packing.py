@@ -74,13 +74,16 @@ def pack(lengths: Sequence[int], capacities: Sequence[int], bin_cost: int = BIN_
 
 
 def lengths_of(docs: DataFrame) -> DataFrame:
-    """(_id, n): how many words each text has, for texts that have any."""
-    counted = docs.select(id_of().alias("_id"), F.size(words_of(whole_text())).alias("n"))
+    """(_id, _k, n): how many words each text has, for texts that have any, and a hash of the text."""
+    text = whole_text()
+    counted = docs.select(
+        id_of().alias("_id"), F.xxhash64(text).alias("_k"), F.size(words_of(text)).alias("n")
+    )
     return counted.filter("n > 0")
 
 
 def pieces(lengths: DataFrame, most: int) -> DataFrame:
-    """(_id, piece, start, length, _copy): texts longer than ``most`` are cut.
+    """(_id, _k, piece, start, length, _copy): texts longer than ``most`` are cut.
 
     Rows that are equal in all that is packed are numbered, so that they spread
     over the shards as well.
@@ -89,11 +92,11 @@ def pieces(lengths: DataFrame, most: int) -> DataFrame:
     starts = F.sequence(F.lit(0), n - 1, F.lit(most))
     length = F.least(F.lit(most), n - F.col("start"))
     return (
-        lengths.groupBy("_id", "n")
+        lengths.groupBy("_id", "_k", "n")
         .agg(F.count("*").alias("_times"))
-        .select("_id", "n", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
-        .select("_id", "n", "_copy", F.posexplode(starts).alias("piece", "start"))
-        .select("_id", "piece", "start", length.alias("length"), "_copy")
+        .select("_id", "_k", "n", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
+        .select("_id", "_k", "n", "_copy", F.posexplode(starts).alias("piece", "start"))
+        .select("_id", "_k", "piece", "start", length.alias("length"), "_copy")
     )
 
 
@@ -103,13 +106,13 @@ def pack_documents(
     bin_cost: int = BIN_COST,
     shard_pieces: int = SHARD_PIECES,
 ) -> DataFrame:
-    """One row a piece: doc_id, piece, start, length, bin_id, bin_capacity, bin_offset.
+    """One row a piece: doc_id, text_key, piece, start, length, bin_id, bin_capacity, bin_offset.
 
-    Lengths are words. Documents without words have no row. Longer ones than the
+    Lengths are words. ``text_key`` is a hash of the text, which tells rows that
+    share an id apart. Documents without words have no row. Longer ones than the
     largest capacity are cut into pieces of it and a rest. Repeated ids and rows
     are packed each; a null id is an id like others. Shards are dealt by a hash
-    of id and piece, or of the length for rows that share both, so no id can
-    fill one. The same documents give the same bins however they are partitioned.
+    of id, text and piece, and of the number of a copy, so no id can fill one. The same documents give the same bins however they are partitioned.
     """
     sizes = sorted({int(c) for c in capacities})
     if not sizes or sizes[0] < 1:
@@ -117,11 +120,11 @@ def pack_documents(
     lengths = write_out(lengths_of(docs), "lengths")
     total = lengths.agg(F.sum(F.ceil(F.col("n") / sizes[-1])).alias("n")).first()["n"] or 0
     shards = -(-total // shard_pieces) or 1
-    shard = F.pmod(F.xxhash64("_id", "piece", "length", "_copy"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("_id", "_k", "piece", "_copy"), F.lit(shards))
 
     def pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(
-            ["length", "_id", "piece", "_copy"], ascending=[False, True, True, True]
+            ["length", "_id", "_k", "piece", "_copy"], ascending=[False, True, True, True, True]
         )
         placed, bins = pack(rows["length"].tolist(), sizes, bin_cost)
         rows["bin_id"] = [f"{key[0]}-{which}" for which, _ in placed]
@@ -135,23 +138,32 @@ def pack_documents(
         .groupBy("_shard")
         .applyInPandas(
             pack_shard,
-            "_id long, piece int, start int, length int, "
+            "_id long, _k long, piece int, start int, length int, "
             "bin_id string, bin_capacity int, bin_offset int",
         )
     )
-    return packed.select(id_back(F.col("_id")).alias("doc_id"), *packed.columns[1:])
+    own = [id_back(F.col("_id")).alias("doc_id"), F.col("_k").alias("text_key")]
+    return packed.select(*own, *packed.columns[2:])
 
 
 def sequences(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The packed texts: bin_id, bin_capacity, and its pieces' words joined in order."""
-    words = docs.select("doc_id", words_of(whole_text()).alias("_words")).dropDuplicates(["doc_id"])
-    same = F.col("p.doc_id").eqNullSafe(F.col("w.doc_id"))
-    piece = F.array_join(F.slice("_words", F.col("start") + 1, F.col("length")), " ")
-    parts = placed.alias("p").join(words.alias("w"), same).select(
-        "bin_id", "bin_capacity", F.struct("bin_offset", piece.alias("text")).alias("_part")
+    """The packed texts: bin_id, bin_capacity, and its pieces' words joined in order.
+
+    ``docs`` are the documents that were packed. Texts are found by id and text,
+    so rows that share an id each give their own words, copies as often as there are.
+    """
+    text = whole_text()
+    texts = docs.select(id_of().alias("_id"), F.xxhash64(text).alias("_k"), text.alias("_text"))
+    texts = texts.dropDuplicates(["_id", "_k"])
+    pieces_ = placed.select(
+        id_of().alias("_id"), F.col("text_key").alias("_k"), "start", "length",
+        "bin_id", "bin_capacity", "bin_offset",
     )
+    piece = F.array_join(F.slice(words_of(F.col("_text")), F.col("start") + 1, F.col("length")), " ")
+    parts = pieces_.join(texts.hint("merge"), ["_id", "_k"]).select(
+        "bin_id", "bin_capacity", F.struct("bin_offset", piece.alias("text")).alias("_part")
+    )
     held = parts.groupBy("bin_id", "bin_capacity").agg(
         F.sort_array(F.collect_list("_part")).alias("_parts")
     )
     return held.select("bin_id", "bin_capacity", F.array_join("_parts.text", " ").alias("text"))
-

@@ -3,7 +3,9 @@
 Base spans come from patterns of e-mail addresses, IP addresses, card and phone
 numbers. They are the seeds of a graph between instances (values of base spans,
 and words with digits that are no base span) and lexical patterns (the word
-before, the word after). In each round a pattern's confidence is the instances'
+before, the word after). Identifiers that look like secrets, long and mixed of letters and
+digits, are seeds of a lower score, so that the words beside them become patterns
+too. In each round a pattern's confidence is the instances'
 mean score over all occurrences of its word in the corpus, and an instance's
 score is the noisy-or of the confident patterns it is found in. Patterns need
 several distinct instances. Words that end with a high score are further spans.
@@ -18,7 +20,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import NO_ID, id_back, id_of, whole_text, write_out
+from tallyframe.llm.common import (
+    NO_ID,
+    by_own_names,
+    id_back,
+    id_of,
+    set_apart,
+    whole_text,
+    write_out,
+)
 
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 #: A search may start where the last one ended or where a run starts. Starts inside a run
@@ -40,7 +50,13 @@ NUMBERLESS = rf"[^0-9{PUNCTUATION[1:]}]"
 #: Labels glued to the front of a word with digits.
 LABELS = rf"^(?:{NUMBERLESS}*+{PUNCTUATION}]++)*+"
 
-ROUNDS = 3
+#: Identifiers of this form are taken for secrets until their contexts say otherwise: as seeds
+#: they make patterns like others, but are spans only where a pattern finds them.
+SECRET = r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_-]{32,}$"
+PRIOR = 0.9
+
+#: Scores settle long before; no more rounds than these.
+ROUNDS = 20
 MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.5
 MIN_SCORE = 0.8
@@ -309,16 +325,22 @@ def bootstrap(
     min_support: int = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """(value, score) of unseen values that stand in confident patterns."""
+    """(value, score) of unseen values that stand in confident patterns.
+
+    Rounds go on until the scores settle, and no further than ``rounds``.
+    """
     beside_seeds = write_out(_contexts(seeds), "seed-contexts")
     beside_unseen = write_out(_contexts(unseen), "unseen-contexts")
-    known = _edges(beside_seeds).withColumn("seed", F.lit(True))
-    edges = known.union(_edges(beside_unseen).withColumn("seed", F.lit(False)))
+    known = _edges(beside_seeds).withColumn("prior", F.lit(1.0))
+    secret = F.when(F.col("value").rlike(SECRET), PRIOR).otherwise(0.0)
+    edges = known.union(_edges(beside_unseen).withColumn("prior", secret))
     # Words beside no seed or candidate are never asked for; the others keep their corpus count.
     asked = edges.select("word").distinct()
     totals = word_counts(docs, beside_seeds.union(beside_unseen)).join(asked, "word", "left_semi")
     edges = write_out(edges.join(totals, "word"), "pattern-graph")
-    scores = edges.filter("seed").select("value", F.lit(1.0).alias("score")).distinct()
+    # A value that is a base span anywhere is no unseen one.
+    priors = write_out(edges.groupBy("value").agg(F.max("prior").alias("score")), "priors")
+    scores, reached, before = priors.filter("score > 0"), None, None
     pattern = ["side", "word"]
     for _ in range(rounds):
         confident = (
@@ -331,18 +353,24 @@ def bootstrap(
             .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
             .select(*pattern, F.least("confidence", F.lit(0.999)).alias("confidence"))
         )
-        reached = (
-            edges.filter("NOT seed")
-            .join(confident, pattern)
+        found = (
+            edges.join(confident, pattern)
             .groupBy("value")
-            .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
+            .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("reached"))
         )
-        known_values = edges.filter("seed").select("value").distinct()
-        fresh = reached.join(known_values, "value", "left_anti")
-        scores = write_out(
-            known_values.withColumn("score", F.lit(1.0)).union(fresh), "instance-scores"
+        reached = write_out(
+            priors.join(found, "value", "left").select(
+                "value", F.col("score").alias("prior"), F.coalesce("reached", F.lit(0.0)).alias("reached")
+            ),
+            "instance-scores",
         )
-    return scores.join(edges.filter("seed").select("value").distinct(), "value", "left_anti")
+        now = reached.agg(F.sum(F.round("reached", 6)), F.count_if(F.col("reached") > 0)).first()
+        if now == before:
+            break
+        before = now
+        best = F.when(F.col("prior") == 1.0, 1.0).otherwise(F.greatest("prior", "reached"))
+        scores = reached.select("value", best.alias("score")).filter("score > 0")
+    return reached.filter("prior < 1 AND reached > 0").select("value", F.col("reached").alias("score"))
 
 
 def find(docs: DataFrame, min_score: float = MIN_SCORE, **options: float) -> DataFrame:
@@ -384,6 +412,8 @@ def redact(docs: DataFrame, mark: str = "[PRIVATE]", **options: float) -> DataFr
     Texts without spans, null ones too, stay as they are. A column ``n_chars``
     gets the new length; all columns keep their names and types.
     """
+    columns, kind = docs.columns, dict(docs.dtypes).get("n_chars")
+    docs, back = set_apart(docs, ["doc_id", "text", "n_chars"])
     found = find(docs.select("doc_id", "text"), **options).filter(F.size("places") > 0)
     places = found.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), "_text", "places"
@@ -405,8 +435,8 @@ def redact(docs: DataFrame, mark: str = "[PRIVATE]", **options: float) -> DataFr
         F.aggregate("places", first, step, end)
     )
     changed = here.withColumn("_new", new)
-    columns = {"text": F.col("_new")}
-    if "n_chars" in docs.columns:
+    back["text"] = F.col("_new")
+    if "n_chars" in columns:
         size = F.when(F.col("places").isNull(), F.col("n_chars")).otherwise(F.length("_new"))
-        columns["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
-    return changed.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+        back["n_chars"] = size.cast(kind)
+    return changed.select(*by_own_names({c: back[c] for c in columns}))

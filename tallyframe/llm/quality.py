@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import WORD, whole_text, words_of
+from tallyframe.llm.common import WORD, by_own_names, set_apart, whole_text, words_of
 
 BUCKETS = 32_768
 WINDOW = 5
@@ -142,9 +142,9 @@ def judge(
     """
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     own += ["base_failed", "score", "kept"]
-    asked = [c for c in docs.columns if c not in own]
-    model = weights(docs, labels, most_trusted).scalar()
-    here = measures(docs.select(*asked)).withColumn("_model", model)
+    docs, back = set_apart(docs, ["doc_id", "text"], own)
+    model = weights(docs.select("doc_id", "text"), labels, most_trusted).scalar()
+    here = measures(docs).withColumn("_model", model)
     weight = F.col("_model")
 
     def add(total: Column, word: Column) -> Column:
@@ -158,5 +158,5 @@ def judge(
         here.withColumn("base_failed", failed)
         .withColumn("score", F.when(n > 0, total / (2 * n)))
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-        .select(*asked, *own)
+        .select(*by_own_names(back), *own)
     )

@@ -177,7 +177,7 @@ def test_archives_have_one_member_a_record(spark, tmp_path):
     ]
 
 
-def test_decoding_and_another_model(spark):
+def test_decoding(spark):
     texts = ["Hello  world", "", None, "naïve 😀\n\tx"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     back = pieces.decode(pieces.encode(docs, queries.PIECE_MODEL), queries.PIECE_MODEL)
