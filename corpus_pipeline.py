@@ -1,7 +1,12 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
-as Parquet and read again as the next stage's docs.
+as Parquet and read again as the next stage's docs. ``docs`` needs doc_id and
+text; all other columns, of any name, are handed on by all stages but the last,
+and n_chars, where there is one, gets the new length of a changed text. Null
+texts count as empty and are rejected by the first stage, as having no words.
+Rows without an id, or with repeated ones, are judged each by its own text. An
+empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,22 +16,26 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.settled import settled
 from tallyframe.llm import chosen_path, line_dedup, packing, pii, quality
-from tallyframe.llm.common import table, write_out
+from tallyframe.llm.common import by_own_names, set_apart, table, write_out
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the target-against-corpus test reject go."""
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.withColumn("_kept", settled(F.col("kept"))).filter("_kept").select(*docs.columns)
+    apart, back = set_apart(docs, ["doc_id", "text"])
+    judged = quality.judge(apart, table(spark, sf_dir, "labels"))
+    stays = judged.withColumn("kept", settled(F.col("kept"))).filter("kept")
+    return stays.select(*by_own_names(back))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, except from the document with the smallest id."""
-    kept = line_dedup.dedup_lines(docs)
-    changed = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
-    size = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
-    changed["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
-    return kept.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    apart, back = set_apart(docs, ["doc_id", "text", "n_chars"])
+    kept = line_dedup.dedup_lines(apart)
+    back["text"] = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    if "n_chars" in back:
+        size = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
+        back["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return kept.select(*by_own_names(back))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
