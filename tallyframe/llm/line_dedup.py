@@ -179,9 +179,10 @@ def dedup_lines(docs: DataFrame, **options: int) -> DataFrame:
     joined = here.join(dropped.hint("merge"), TEXT, "left").withColumn("_lines", F.split(whole_text(), "\n"))
     none = F.col("_dropped").isNull()
     kept = F.array_join(_without(F.col("_lines"), F.col("_dropped")), "\n")
-    return joined.select(
-        *by_own_names(back),
+    made = joined.select(
+        *docs.columns,
         F.size("_lines").cast("long").alias("n_lines"),
         F.when(none, 0).otherwise(F.size("_dropped")).cast("long").alias("n_dropped"),
         F.when(none, whole_text()).otherwise(kept).alias("kept_text"),
     )
+    return made.select(*by_own_names(back), "n_lines", "n_dropped", "kept_text")

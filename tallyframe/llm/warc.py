@@ -258,8 +258,10 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
 
 
 def _typed(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
-    return frame.astype({"_refers": "Int64", "_id": "int64", "payload_bytes": "int64"})
+    frame = pd.DataFrame(rows, columns=names, dtype=object)
+    # From whole numbers, not by way of floats, which would round large ids.
+    refers = pd.array([x if x is None else int(x) for x in frame["_refers"]], "Int64")
+    return frame.astype({"_id": "int64", "payload_bytes": "int64"}).assign(_refers=refers)
 
 
 def archive(

@@ -335,7 +335,7 @@ def test_stages_of_odd_documents(spark):
     rows += [(5, "Some other line that is long\n" + good.replace("text", "prose")), (5, "short")]
     docs = documents(spark, rows)
     docs = docs.select("*", *[F.lit("mine").alias(c) for c in [*NAMES, *INNER_NAMES]])
-    for kind in (docs, docs.withColumn("n_chars", F.length("text").cast("short")), docs.limit(0)):
+    for kind in (docs, docs.withColumn("n_chars", F.length("text").cast("int")), docs.limit(0)):
         now = kind
         for name, stage in corpus_pipeline.STAGES[:-1]:
             now = stage(spark, now, SF_DIR)
