@@ -30,11 +30,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, except from the document with the smallest id."""
     apart, back = set_apart(docs, ["doc_id", "text", "n_chars"])
-    kept = line_dedup.dedup_lines(apart)
-    back["text"] = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    kept, cut = line_dedup.dedup_lines(apart), F.col("n_dropped") > 0
+    kept = kept.withColumn("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text")))
     if "n_chars" in back:
-        size = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
-        back["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+        size = F.when(cut, F.length("kept_text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
     return kept.select(*by_own_names(back))
 
 
