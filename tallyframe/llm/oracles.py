@@ -8,12 +8,21 @@ BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
 WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANKS}'), lambda w: w <> '')"
 
 
-def _bucket(part: str, side: int) -> str:
-    codes = [f"coalesce(unicode(nullif(substr({part}, {i}, 1), '')), 0)::BIGINT" for i in (1, 2, 3)]
-    return (
-        f"({side} + 31 * {codes[0]} + 1009 * {codes[1]} + 32771 * {codes[2]}) % {quality.BUCKETS}"
-    )
-
+#: CRC-32 of a word's UTF-8 bytes, from the rule of its polynomial.
+CRC = """
+crc_table AS (
+  SELECT list(v ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v
+    FROM range(256) r(n))
+), crcs AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b:
+    xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h
+  FROM crc_table, (
+    SELECT w, list_transform(range(strlen(w)), lambda i:
+      ('0x' || substr(hex(encode(w)), (2 * i + 1)::INT, 2))::BIGINT) AS bytes
+    FROM (SELECT DISTINCT w FROM words))
+"""
 
 QUALITY = f"""
 WITH docs AS (
@@ -33,10 +42,14 @@ WITH docs AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
   WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY doc_id
+), {CRC.strip()}
+), hashed AS (
+  SELECT doc_id, h, lead(h) OVER (PARTITION BY doc_id ORDER BY i) AS h2
+  FROM words JOIN crcs USING (w)
 ), grams AS (
-  SELECT doc_id, {_bucket("w", 0)} AS b FROM words
+  SELECT doc_id, h % {quality.BUCKETS} AS b FROM hashed
   UNION ALL
-  SELECT doc_id, {_bucket("right(w, 3)", 17)} AS b FROM words
+  SELECT doc_id, (31 * h + h2) % {quality.BUCKETS} AS b FROM hashed WHERE h2 IS NOT NULL
 ), trusted AS (
   SELECT DISTINCT doc_id, ((doc_id % 1000003) * 7919) % 1000003 AS o FROM labels
   WHERE quality = 1 AND coalesce(toxic, 0) = 0 ORDER BY o, doc_id LIMIT {quality.MOST_TRUSTED}
@@ -45,8 +58,8 @@ WITH docs AS (
          count(*) FILTER (doc_id IN (SELECT doc_id FROM trusted)) AS n_good
   FROM grams GROUP BY b
 ), model AS (
-  SELECT b, ln((n_good + 1.0) / (sum(n_good) OVER () + {quality.BUCKETS}))
-          - ln((n_raw + 1.0) / (sum(n_raw) OVER () + {quality.BUCKETS})) AS v
+  SELECT b, ln((n_good / (n_raw / sum(n_raw) OVER ()) + {quality.BUCKETS})
+            / (sum(n_good) OVER () + {quality.BUCKETS})) AS v
   FROM counts
 ), scores AS (
   SELECT doc_id, avg(v) AS score FROM grams JOIN model USING (b) GROUP BY doc_id

@@ -1,10 +1,11 @@
 """Quality rules: repetition and length rules, then a target-against-corpus test.
 
-The test is a hashed n-gram log-likelihood ratio. The n-grams are the first and
-the last three code points of every word. Two multinomials over their buckets,
-one of trusted documents and one of the whole corpus, give each bucket a weight
-``log p(bucket | trusted) - log p(bucket | corpus)``; a document's score is the
-mean weight of its n-grams, and it is kept at ``threshold`` or above.
+The test is a hashed n-gram log-likelihood ratio. The n-grams are all single words
+of a text and all pairs of neighbouring words, hashed whole. Two multinomials over
+their buckets, one of trusted documents and one of the whole corpus, give each
+bucket a weight ``log p(bucket | trusted) - log p(bucket | corpus)``, where the
+trusted one is smoothed with the corpus. A document's score is the mean weight of
+its n-grams, and it is kept at ``threshold`` or above.
 
 Everything runs as DataFrame expressions. The corpus is counted whole; the
 trusted model is fitted on at most ``most_trusted`` labelled documents, spread
@@ -18,25 +19,31 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import WORD, by_own_names, set_apart, whole_text, words_of
 
-BUCKETS = 32_768
+#: A power of two, so that a bucket is the last bits of a hash.
+BUCKETS = 262_144
 WINDOW = 5
 SYMBOLS = "[#*$%&|<>]"
 #: Mean weight below which a document is rejected.
-THRESHOLD = -1.0
+THRESHOLD = -0.35
 MOST_TRUSTED = 10_000
-#: Added to every count of the two multinomials.
+#: So many n-grams a bucket, dealt as in the corpus, are added to those of trusted documents:
+#: what they lack is no evidence while they are few, and equal shares weigh 0 at any size.
 SMOOTHING = 1.0
 
 
-def _grams(word: Column) -> list[Column]:
-    """Buckets of the first three and the last three code points."""
+def _grams(words: Column) -> Column:
+    """Buckets of all single words and of all pairs of neighbours."""
+    hashes = F.transform(words, lambda word: F.crc32(word))
+    following = F.slice(hashes, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+    # The last word has no neighbour: the longer list is padded with nulls.
+    pairs = F.zip_with(hashes, following, lambda x, y: _bucket(31 * x + y))
+    return F.concat(
+        F.transform(hashes, _bucket), F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+    )
 
-    def bucket(part: Column, side: int) -> Column:
-        codes = [F.ascii(F.substring(part, i, 1)).cast("long") for i in (1, 2, 3)]
-        mixed = side + 31 * codes[0] + 1_009 * codes[1] + 32_771 * codes[2]
-        return (mixed % BUCKETS).cast("int")
 
-    return [bucket(F.substring(word, 1, 3), 0), bucket(F.right(word, F.lit(3)), 17)]
+def _bucket(number: Column) -> Column:
+    return number.bitwiseAND(BUCKETS - 1).cast("int")
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
@@ -50,47 +57,42 @@ def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
     return good.select("doc_id").distinct().orderBy(spread, "doc_id").limit(most)
 
 
-def _counts(docs: DataFrame, name: str) -> DataFrame:
-    words = _with_words(docs.select("text")).select(F.explode("_words").alias("_word"))
-    buckets = words.select(F.explode(F.array(*_grams(F.col("_word")))).alias("bucket"))
-    return buckets.groupBy("bucket").agg(F.count("*").alias(name))
-
-
 def weights(docs: DataFrame, labels: DataFrame, most_trusted: int = MOST_TRUSTED) -> DataFrame:
     """One row: the weight of every bucket; zeros if no document is trusted."""
     spark = docs.sparkSession
     # The ids number most_trusted at most, so they may be broadcast at any size of the corpus.
-    trusted = docs.select("doc_id", "text").join(
-        F.broadcast(trusted_ids(labels, most_trusted)), "doc_id", "left_semi"
-    )
+    trusted = trusted_ids(labels, most_trusted).withColumn("_good", F.lit(1))
+    marked = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
+    grams = _with_words(marked).select("_good", F.explode(_grams(F.col("_words"))).alias("bucket"))
+    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_good").alias("good"))
     buckets = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    counted = (
-        buckets.join(_counts(docs, "raw"), "bucket", "left")
-        .join(_counts(trusted, "good"), "bucket", "left")
-        .fillna(0)
-    )
+    counted = buckets.join(counts, "bucket", "left").fillna(0)
     whole = counted.agg(
         F.sort_array(F.collect_list(F.struct("bucket", "good", "raw"))).alias("all"),
         F.sum("good").alias("n_good"),
         F.sum("raw").alias("n_raw"),
     )
 
-    def share(count: Column, total: str) -> Column:
-        return F.log((count + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS))
+    prior = SMOOTHING * BUCKETS
 
-    ratio = F.transform("all", lambda x: share(x["good"], "n_good") - share(x["raw"], "n_raw"))
+    def ratio(x: Column) -> Column:
+        as_frequent = x["good"] * F.col("n_raw") / x["raw"]
+        return F.when(x["raw"] > 0, F.log((as_frequent + prior) / (F.col("n_good") + prior)))
+
+    ratios = F.transform("all", lambda x: F.coalesce(ratio(x), F.lit(0.0)))
     none = F.array_repeat(F.lit(0.0), BUCKETS)
-    return whole.select(F.when(F.col("n_good") > 0, ratio).otherwise(none).alias("weights"))
+    return whole.select(F.when(F.col("n_good") > 0, ratios).otherwise(none).alias("weights"))
 
 
 def measures(docs: DataFrame) -> DataFrame:
     """``docs`` with the base measures; one narrow pass, linear in the length of a text."""
-    words, n = F.col("_words"), F.col("n_words")
+    n = F.col("n_words")
     here = _with_words(docs).withColumn("n_words", F.size("_words").cast("long"))
+    here = here.withColumn("_hashes", F.transform("_words", lambda word: F.xxhash64(word)))
     lines = F.filter(F.split(whole_text(), "\n"), lambda line: line.rlike(WORD))
     windows = F.transform(
         F.sequence(F.lit(0), (n - WINDOW).cast("int")),
-        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]),
+        lambda i: F.xxhash64(*[F.get(F.col("_hashes"), i + k) for k in range(WINDOW)]),
     )
     none = F.array().cast("array<bigint>")
     here = (
@@ -144,19 +146,16 @@ def judge(
     own += ["base_failed", "score", "kept"]
     docs, back = set_apart(docs, ["doc_id", "text"], own)
     model = weights(docs.select("doc_id", "text"), labels, most_trusted).scalar()
-    here = measures(docs).withColumn("_model", model)
-    weight = F.col("_model")
-
-    def add(total: Column, word: Column) -> Column:
-        first, last = _grams(word)
-        return total + F.get(weight, first) + F.get(weight, last)
-
-    total = F.aggregate("_words", F.lit(0.0), add)
     n = F.col("n_words")
+    here = measures(docs).select("*", _grams(F.col("_words")).alias("_grams"), model.alias("_model"))
+    # Nothing else in this step: so the optimizer puts the weights themselves into the sum,
+    # and they are not copied into every row.
+    total = F.aggregate("_grams", F.lit(0.0), lambda sum, gram: sum + F.get(F.col("_model"), gram))
+    here = here.select(*docs.columns, *own[:5], total.alias("_total"))
     failed = (n < 10) | (100 * F.col("n_repeat_words") > 20 * n)
     return (
         here.withColumn("base_failed", failed)
-        .withColumn("score", F.when(n > 0, total / (2 * n)))
+        .withColumn("score", F.when(n > 0, F.col("_total") / (2 * n - 1)))
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
         .select(*by_own_names(back), *own)
     )

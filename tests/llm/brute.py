@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 BLANKS = " \t\n\x0b\f\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -130,26 +132,25 @@ def measured(text):
     return n, sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed
 
 
-def _grams(w):
-    for part, side in ((w[:3], 0), (w[-3:], 17)):
-        codes = [ord(c) for c in part] + [0, 0, 0]
-        yield (side + 31 * codes[0] + 1_009 * codes[1] + 32_771 * codes[2]) % 32_768
+def _grams(w, buckets=262_144):
+    hashes = [zlib.crc32(x.encode()) for x in w]
+    return [h % buckets for h in hashes] + [(31 * x + y) % buckets for x, y in pairwise(hashes)]
 
 
-def kept_by_quality(rows, good, threshold=-1.0):
+def kept_by_quality(rows, good, threshold=-0.35, buckets=262_144):
     raw, trusted = Counter(), Counter()
     for i, text in rows:
-        grams = [g for w in words(text) for g in _grams(w)]
+        grams = _grams(words(text), buckets)
         raw.update(grams)
         if i in good:
             trusted.update(grams)
-    a, b = sum(trusted.values()) + 32_768, sum(raw.values()) + 32_768
+    n, m = sum(trusted.values()), sum(raw.values())
     kept = []
     for i, text in rows:
-        grams = [g for w in words(text) for g in _grams(w)]
+        grams = _grams(words(text), buckets)
         if measured(text)[5]:
             continue
-        score = sum(math.log((trusted[g] + 1) / a) - math.log((raw[g] + 1) / b) for g in grams)
+        score = sum(math.log((trusted[g] / (raw[g] / m) + buckets) / (n + buckets)) for g in grams)
         if score / len(grams) >= threshold:
             kept.append((i, text))
     return kept

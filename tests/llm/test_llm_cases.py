@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import random
 from collections import Counter
 
@@ -260,6 +261,35 @@ def test_quality_without_trusted_documents_uses_the_base_rules(spark):
     assert {r["doc_id"]: r["kept"] for r in quality.judge(docs, labels).collect()} == {1: False, 2: True}
 
 
+def test_order_and_inside_of_words_count_for_quality(spark):
+    rng = random.Random(12)
+    after = {f"word{i}": [f"word{rng.randrange(300)}" for _ in range(12)] for i in range(300)}
+
+    def sentence(n):
+        w = [f"word{rng.randrange(300)}"]
+        while len(w) < n:
+            w.append(rng.choice(after[w[-1]]))
+        return w
+
+    good = [" ".join(sentence(80)) for _ in range(300)]
+    backwards = [" ".join(reversed(sentence(80))) for _ in range(300)]
+    encoded = [base64.b64encode(rng.randbytes(1_200)).decode() for _ in range(60)]
+    encoded = ["\n".join(x[i : i + 76] for i in range(0, len(x), 76)) for x in encoded]
+    # Edges of words are as before, only their inside is another.
+    inside = [" ".join(w[:2] + f"{rng.randrange(10**9)}" + w[2:] for w in sentence(80)) for _ in range(60)]
+    texts = good + backwards + encoded + inside
+    labels = [(i, 1, 0) for i in range(200)]
+    docs = documents(spark, list(enumerate(texts)))
+    # Little text is little evidence either way; 0 parts what is likelier from trusted documents.
+    trusted = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = quality.judge(docs, trusted, threshold=0.0)
+    rows = {r["doc_id"]: (r["base_failed"], r["kept"], r["score"]) for r in found.collect()}
+    assert not any(failed for failed, *_ in rows.values())
+    assert {i for i, (_, kept, _) in rows.items() if kept} == set(range(300))
+    plain = brute.kept_by_quality(list(enumerate(texts)), set(range(200)), threshold=0.0)
+    assert {i for i, _ in plain} == set(range(300))
+
+
 def test_packing_does_not_depend_on_partitions(spark):
     docs = documents(spark, [(i, "w " * (i * 37 % 900)) for i in range(300)])
     one = packing.pack_documents(docs.coalesce(1), [256, 512], shard_pieces=50)
