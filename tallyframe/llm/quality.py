@@ -33,17 +33,15 @@ SMOOTHING = 1.0
 
 def _grams(words: Column) -> Column:
     """Buckets of all single words and of all pairs of neighbours."""
-    hashes = F.transform(words, lambda word: F.crc32(word))
-    following = F.slice(hashes, 2, F.greatest(F.size(words) - 1, F.lit(0)))
-    # The last word has no neighbour: the longer list is padded with nulls.
-    pairs = F.zip_with(hashes, following, lambda x, y: _bucket(31 * x + y))
-    return F.concat(
-        F.transform(hashes, _bucket), F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    )
+    last_bits = F.lit(BUCKETS - 1)
+    single = F.transform(words, lambda word: F.crc32(word).bitwiseAND(last_bits).cast("int"))
+    # The last word has no neighbour: the shorter list is padded with a null, which is cut off.
+    pairs = F.zip_with(single, _from(single, 1), lambda x, y: (31 * x + y).bitwiseAND(last_bits))
+    return F.concat(single, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
 
 
-def _bucket(number: Column) -> Column:
-    return number.bitwiseAND(BUCKETS - 1).cast("int")
+def _from(values: Column, skipped: int) -> Column:
+    return F.slice(values, skipped + 1, F.greatest(F.size(values) - skipped, F.lit(0)))
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
