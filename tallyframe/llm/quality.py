@@ -88,10 +88,16 @@ def measures(docs: DataFrame) -> DataFrame:
     here = _with_words(docs).withColumn("n_words", F.size("_words").cast("long"))
     here = here.withColumn("_hashes", F.transform("_words", lambda word: F.xxhash64(word)))
     lines = F.filter(F.split(whole_text(), "\n"), lambda line: line.rlike(WORD))
-    windows = F.transform(
-        F.sequence(F.lit(0), (n - WINDOW).cast("int")),
-        lambda i: F.xxhash64(*[F.get(F.col("_hashes"), i + k) for k in range(WINDOW)]),
-    )
+    # Five words are two pairs and a word; what is padded at the end is cut off.
+    two = F.col("_twos")
+
+    def join(x: Column, y: Column) -> Column:
+        return F.xxhash64(x, y)
+
+    here = here.withColumn("_twos", F.zip_with("_hashes", _from(F.col("_hashes"), 1), join))
+    here = here.withColumn("_fours", F.zip_with(two, _from(two, 2), join))
+    windows = F.zip_with("_fours", _from(F.col("_hashes"), WINDOW - 1), join)
+    windows = F.slice(windows, 1, (n - WINDOW + 1).cast("int"))
     none = F.array().cast("array<bigint>")
     here = (
         here.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
