@@ -31,21 +31,23 @@ MOST_TRUSTED = 10_000
 SMOOTHING = 1.0
 
 
-def _grams(words: Column) -> Column:
-    """Buckets of all single words and of all pairs of neighbours."""
+def _codes(words: Column) -> Column:
+    """The bucket of each single word."""
     last_bits = F.lit(BUCKETS - 1)
-    single = F.transform(words, lambda word: F.crc32(word).bitwiseAND(last_bits).cast("int"))
-    # The last word has no neighbour: the shorter list is padded with a null, which is cut off.
-    pairs = F.zip_with(single, _from(single, 1), lambda x, y: (31 * x + y).bitwiseAND(last_bits))
-    return F.concat(single, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+    return F.transform(words, lambda word: F.crc32(word).bitwiseAND(last_bits).cast("int"))
+
+
+def _pair(x: Column, y: Column) -> Column:
+    """The bucket of a word and its right neighbour, from theirs."""
+    return (31 * x + y).bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def _from(values: Column, skipped: int) -> Column:
     return F.slice(values, skipped + 1, F.greatest(F.size(values) - skipped, F.lit(0)))
 
 
-def _with_words(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_words", words_of(whole_text()))
+def _all_words() -> Column:
+    return words_of(whole_text())
 
 
 def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
@@ -61,7 +63,15 @@ def weights(docs: DataFrame, labels: DataFrame, most_trusted: int = MOST_TRUSTED
     # The ids number most_trusted at most, so they may be broadcast at any size of the corpus.
     trusted = trusted_ids(labels, most_trusted).withColumn("_good", F.lit(1))
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
-    grams = _with_words(marked).select("_good", F.explode(_grams(F.col("_words"))).alias("bucket"))
+    # A row a word with its neighbour, then one for each of the two buckets: both are generated
+    # code, where making one list of all buckets of a text is not.
+    codes = marked.select("_good", _codes(_all_words()).alias("_codes"))
+    code = F.col("_codes")
+    next_to = F.arrays_zip(code.alias("x"), _from(code, 1).alias("y"))
+    beside = codes.select("_good", F.inline(next_to).alias("x", "y"))
+    both = F.stack(F.lit(2), F.col("x"), _pair(F.col("x"), F.col("y"))).alias("bucket")
+    # The last word has no neighbour.
+    grams = beside.select("_good", both).filter("bucket IS NOT NULL")
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_good").alias("good"))
     buckets = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     counted = buckets.join(counts, "bucket", "left").fillna(0)
@@ -82,32 +92,40 @@ def weights(docs: DataFrame, labels: DataFrame, most_trusted: int = MOST_TRUSTED
     return whole.select(F.when(F.col("n_good") > 0, ratios).otherwise(none).alias("weights"))
 
 
+def _join(x: Column, y: Column) -> Column:
+    return F.xxhash64(x, y)
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """``docs`` with the base measures; one narrow pass, linear in the length of a text."""
     n = F.col("n_words")
-    here = _with_words(docs).withColumn("n_words", F.size("_words").cast("long"))
-    here = here.withColumn("_hashes", F.transform("_words", lambda word: F.xxhash64(word)))
+    docs = docs.withColumn("_words", _all_words())
+    here = docs.select(
+        *[c for c in docs.columns if c != "_words"],
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        _codes(F.col("_words")).alias("_codes"),
+        F.transform("_words", lambda word: F.xxhash64(word)).alias("_hashes"),
+    )
     lines = F.filter(F.split(whole_text(), "\n"), lambda line: line.rlike(WORD))
     # Five words are two pairs and a word; what is padded at the end is cut off.
-    two = F.col("_twos")
-
-    def join(x: Column, y: Column) -> Column:
-        return F.xxhash64(x, y)
-
-    here = here.withColumn("_twos", F.zip_with("_hashes", _from(F.col("_hashes"), 1), join))
-    here = here.withColumn("_fours", F.zip_with(two, _from(two, 2), join))
-    windows = F.zip_with("_fours", _from(F.col("_hashes"), WINDOW - 1), join)
+    two = F.zip_with("_hashes", _from(F.col("_hashes"), 1), _join)
+    here = here.withColumn("_twos", two)
+    four = F.zip_with("_twos", _from(F.col("_twos"), 2), _join)
+    here = here.withColumn("_fours", F.slice(four, 1, F.greatest(n - 3, F.lit(0)).cast("int")))
+    # Only a text in which four words come twice can have a window twice.
+    near = F.size(F.array_distinct("_fours")) < F.size("_fours")
+    windows = F.zip_with("_fours", _from(F.col("_hashes"), WINDOW - 1), _join)
     windows = F.slice(windows, 1, (n - WINDOW + 1).cast("int"))
     none = F.array().cast("array<bigint>")
     here = (
-        here.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-        .withColumn("n_symbols", F.regexp_count(whole_text(), F.lit(SYMBOLS)).cast("long"))
+        here.withColumn("n_symbols", F.regexp_count(whole_text(), F.lit(SYMBOLS)).cast("long"))
         .withColumn("_lines", lines)
         .withColumn(
             "n_dup_lines",
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         )
-        .withColumn("_windows", F.when(n >= WINDOW, windows).otherwise(none))
+        .withColumn("_windows", F.when((n >= WINDOW) & near, windows).otherwise(none))
     )
     # Only texts in which a window comes twice are sorted: equal windows are then neighbours.
     twice = F.size(F.array_distinct("_windows")) < F.size("_windows")
@@ -151,10 +169,16 @@ def judge(
     docs, back = set_apart(docs, ["doc_id", "text"], own)
     model = weights(docs.select("doc_id", "text"), labels, most_trusted).scalar()
     n = F.col("n_words")
-    here = measures(docs).select("*", _grams(F.col("_words")).alias("_grams"), model.alias("_model"))
+    here = measures(docs).select("*", model.alias("_model"))
+    code, weight = F.col("_codes"), F.col("_model")
     # Nothing else in this step: so the optimizer puts the weights themselves into the sum,
-    # and they are not copied into every row.
-    total = F.aggregate("_grams", F.lit(0.0), lambda sum, gram: sum + F.get(F.col("_model"), gram))
+    # and they are not copied into every row. The last word has no neighbour.
+    each = F.zip_with(
+        code,
+        _from(code, 1),
+        lambda x, y: F.get(weight, x) + F.coalesce(F.get(weight, _pair(x, y)), F.lit(0.0)),
+    )
+    total = F.aggregate(each, F.lit(0.0), lambda sum, value: sum + value)
     here = here.select(*docs.columns, *own[:5], total.alias("_total"))
     failed = (n < 10) | (100 * F.col("n_repeat_words") > 20 * n)
     return (
