@@ -68,3 +68,11 @@ def test_the_forest_is_one_conversion_and_expressions(spark):
     assert plan.count("UDF(") == 2 and "Exchange" not in plan
     code = explained(forest.transform(examples).select("prediction"), "codegen")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+def test_scores_of_a_table_are_compilable_code(spark):
+    examples = fixtures.cells(spark, SF_DIR)
+    scored = score_all(examples, fit_all(examples, options={"logistic": {"iterations": 3}}))
+    for frame in (scored.drop("features"), comparison_report(scored)):
+        code = explained(frame, "codegen")
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000

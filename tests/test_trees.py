@@ -10,7 +10,7 @@ from conftest import SF_DIR
 from checks import fixtures
 from tallyframe import FOREST
 from tallyframe.functions import majority_vote
-from tallyframe.functions.trees import table_of, with_tree_values
+from tallyframe.functions.trees import leaf_values, table_of, with_tree_values
 from tallyframe.operators import fit
 from tallyframe.operators.voting import VotingForest
 
@@ -69,3 +69,30 @@ def test_single_leaves_and_odd_descriptions(spark):
         table_of([HEAD + "  If (feature 0 in {1.0})\n"])
     with pytest.raises(ValueError, match="other side"):
         table_of([HEAD + "  If (feature 0 <= 1.0)\n   Predict: 1.0\n  Predict: 2.0\n"])
+
+
+def test_leaves_are_counted_from_left_to_right(spark):
+    frame = fixtures.graded(spark, SF_DIR)
+    forest = fit(frame, FOREST).forest
+    tree = forest.trees[0]
+    values = leaf_values([tree.toDebugString])[0]
+    found = tree.copy({tree.leafCol: "leaf"}).transform(frame).select("leaf", "prediction").distinct()
+    places = {int(row["leaf"]): row["prediction"] for row in found.collect()}
+    assert len(places) > 4
+    assert all(values[place] == prediction for place, prediction in places.items())
+    assert leaf_values([HEAD + "  Predict: 3.0\n"]) == [[3.0]]
+
+
+def test_short_and_missing_vectors_fail(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(i % 2), Vectors.dense([float(i % 2), *rng.normal(size=2)])) for i in range(50)]
+    frame = spark.createDataFrame(rows, ["label", "features"])
+    model = VotingForest(RandomForestClassifier(numTrees=3, maxDepth=1, seed=1).fit(frame))
+    for short in (Vectors.dense([0.0, 1.0]), Vectors.sparse(2, {0: 1.0}), None):
+        asked = spark.createDataFrame([(short,)], frame.select("features").schema)
+        with pytest.raises(Exception):
+            model.transform(asked).collect()
+    longer = spark.createDataFrame([(Vectors.sparse(4, {0: 1.0}),)], ["features"])
+    assert model.transform(longer).select("prediction").collect() == by_models(
+        longer, model.forest
+    ).select("prediction").collect()
