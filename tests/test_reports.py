@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyframe import ALL_KINDS, BAYES, TREE
+from tallyframe.functions.text import cut_cell
 from tallyframe.operators import (
     accuracy,
     accuracy_lines,
@@ -76,6 +77,23 @@ def test_preview_is_what_show_prints(spark):
     assert len(printed) == 20
 
 
+def test_the_preview_of_a_sorted_frame_sorts_no_whole_frame(scored):
+    ordered = scored.orderBy("label")
+    text = io.StringIO()
+    with redirect_stdout(text):
+        preview(comparison_report(ordered)).explain()
+    assert "TakeOrderedAndProject" in text.getvalue() and "Exchange" not in text.getvalue()
+
+
+@pytest.mark.parametrize("width", [0, 2, 3, 4, 20])
+def test_cut_cells(spark, width):
+    texts = ["", None, "a" * 20, "a" * 21, "b" * 20 + "\n", "\n" * 30, "\U0001f600" * 21, "$1\\" * 9, "abcd"]
+    kept = max(width - 3, 0)
+    wanted = [t if t is None or len(t) <= width else t[:kept] + "..." for t in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
+    assert [row[0] for row in frame.select(cut_cell(F.col("t"), width)).collect()] == wanted
+
+
 def test_summary_order_and_lines(scored):
     summary = accuracy_summary(scored)
     assert [tuple(row) for row in summary.collect()] == [
