@@ -6,7 +6,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from checks import fixtures
+from checks import fixtures, registry
 from conftest import SF_DIR
 from tallyframe import FOREST, TREE
 from tallyframe.operators import accuracy_summary, comparison_report, fit, fit_all, score_all
@@ -76,3 +76,15 @@ def test_scores_of_a_table_are_compilable_code(spark):
     for frame in (scored.drop("features"), comparison_report(scored)):
         code = explained(frame, "codegen")
         assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+def test_all_models_are_checked_in_one_pass_of_compilable_code(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the code is not known before the run
+    try:
+        checked = registry.eleven_features_checked(spark, SF_DIR)
+        assert explained(checked, "simple").count("FileScan") == 1
+        code = explained(checked, "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    found = list(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code)))
+    assert found and max(found) < 8000
