@@ -1,11 +1,32 @@
 """The queries on eleven features: how their models are fitted and checked."""
 
+import threading
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from checks import fixtures, registry
 from conftest import SF_DIR
 from tallyframe import ALL_KINDS
+from tallyframe.operators import training
+
+
+def test_logistic_regression_is_fitted_beside_the_others(spark, monkeypatch):
+    both, kept = threading.Barrier(2, timeout=20), []
+
+    def together(key):
+        def fit(examples, **options):
+            if key in ("logistic", "tree"):
+                both.wait()  # breaks if the other does not begin before this one ends
+            kept.append(key)
+
+        return fit
+
+    for kind in ALL_KINDS:
+        monkeypatch.setitem(training._FITS, kind.key, together(kind.key))
+    monkeypatch.setattr(registry, "score_all", lambda examples, models: sorted(models))
+    models, scored = registry._eleven(spark, SF_DIR)
+    assert sorted(kept) == scored == sorted(k.key for k in ALL_KINDS)
 
 
 def test_the_class_of_most_by_hand(spark):
